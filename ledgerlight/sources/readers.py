@@ -12,27 +12,33 @@ from ledgerlight.operators.filings import read_submission_rows
 from ledgerlight.operators.text_features import parse_object_name
 
 
-def read_documents(spark: SparkSession, path: str, prefix: str = "", packed: bool = False) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, prefix: str = "", packed: bool = False, pattern: str = "*.json"
+) -> DataFrame:
     """JSON documents as (object_name, raw), without lineage sidecars.
 
     One document per file, or with ``packed`` one per line of larger files: at many millions of documents
     the packed layout spares the file listing and gives tasks of even size.
     """
     source = f"{path.rstrip('/')}/{prefix}"
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     lines = reader.text(source, wholetext=not packed)
     named = lines.select(F.col("_metadata.file_path").alias("object_name"), F.col("value").alias("raw"))
     return named.filter(~F.col("object_name").endswith(".meta.json"))
 
 
-def read_company_facts(spark: SparkSession, path: str, prefix: str = "", packed: bool = False) -> DataFrame:
+def read_company_facts(
+    spark: SparkSession, path: str, prefix: str = "", packed: bool = False, pattern: str = "*.json"
+) -> DataFrame:
     """Documents for `flatten_facts`, which skips those that are broken or hold no facts."""
-    return read_documents(spark, path, prefix, packed)
+    return read_documents(spark, path, prefix, packed, pattern)
 
 
-def read_submissions(spark: SparkSession, path: str, prefix: str = "", packed: bool = False) -> DataFrame:
+def read_submissions(
+    spark: SparkSession, path: str, prefix: str = "", packed: bool = False, pattern: str = "*.json"
+) -> DataFrame:
     """One row per filing of every submissions document."""
-    return read_submission_rows(read_documents(spark, path, prefix, packed))
+    return read_submission_rows(read_documents(spark, path, prefix, packed, pattern))
 
 
 def read_filing_text(spark: SparkSession, path: str) -> DataFrame:
