@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlight.operators import gold as G
 from ledgerlight.plans import layers as L
+from ledgerlight.sources.readers import spread
 
 FACTS = """
 SELECT cik, company_name, period_end, fiscal_year, fiscal_period, form_type, filed_date, field,
@@ -232,6 +233,9 @@ INPUTS = {
 }
 
 
+LARGE = {"lineitem", "orders", "documents", "pages"}
+
+
 def portable_sql(name: str) -> str:
     """An input as SQL over the plain table names."""
     text, tables = INPUTS[name]
@@ -246,7 +250,8 @@ class Inputs:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(scan) if name in LARGE else scan
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in INPUTS:

@@ -68,9 +68,10 @@ def merge_namespaces(ifrs: Column | str, gaap: Column | str) -> Column:
 def explode_facts(blobs: DataFrame, raw: str = "raw") -> DataFrame:
     """One row per document, tag and US-dollar entry, every tag of the document, values still as text."""
     keep = [c for c in blobs.columns if c != raw]
-    parsed = _parse(blobs, None, raw).filter(F.col(f"_doc.{CORRUPT}").isNull())
-    concepts = merge_namespaces("_doc.facts.`ifrs-full`", "_doc.facts.`us-gaap`")
-    tags = parsed.select(*keep, F.col("_doc.cik"), F.col("_doc.entityName"), F.explode(concepts).alias("tag", "concept"))
+    parsed = _parse(blobs, None, raw)
+    merged = merge_namespaces("_doc.facts.`ifrs-full`", "_doc.facts.`us-gaap`")
+    sound = F.when(F.col(f"_doc.{CORRUPT}").isNull(), merged)
+    tags = parsed.select(*keep, F.col("_doc.cik"), F.col("_doc.entityName"), F.explode(sound).alias("tag", "concept"))
     entries = tags.select(*keep, "cik", "entityName", "tag", F.inline("concept.units.USD"))
     return entries.withColumnRenamed("end", "end_str").withColumnRenamed("filed", "filed_str")
 
@@ -89,24 +90,26 @@ def flatten_facts(
     of the document; the other aliases are ignored for every period.
     """
     tags = [tag for names in aliases.values() for tag in names]
-    parsed = _parse(blobs, tags, raw).filter(F.col(f"_doc.{CORRUPT}").isNull())
+    parsed = _parse(blobs, tags, raw)
 
     def entries(tag: str) -> Column:
         concept = F.coalesce(F.col(f"_doc.facts.`us-gaap`.`{tag}`"), F.col(f"_doc.facts.`ifrs-full`.`{tag}`"))
         return concept["units"]["USD"]
 
     def chosen(names: list[str]) -> Column:
-        candidates = F.transform(F.array(*[entries(tag) for tag in names]), lambda es: F.filter(es, usable))
-        return F.get(F.filter(candidates, lambda es: F.size(es) > 0), 0)
+        if len(names) == 1:
+            return entries(names[0])
+        # `exists` stops at the first usable entry; all others are judged after the explode, in generated code
+        return F.coalesce(*[F.when(F.exists(entries(tag), usable), entries(tag)) for tag in names])
 
     per_field = F.array(*[
         F.struct(F.lit(name).alias("field"), chosen(names).alias("entries")) for name, names in aliases.items()
     ])
-    fields = parsed.select(
-        F.col("_doc.cik"), F.col("_doc.entityName").alias("company_name"), F.explode(per_field).alias("f")
-    )
-    rows = fields.select("cik", "company_name", "f.field", F.explode("f.entries").alias("e"))
-    return coerce_fact_row(rows.select("cik", "company_name", "field", "e.*"))
+    # A broken document has no fields. A filter would say the same, but would parse every document twice.
+    sound = F.when(F.col(f"_doc.{CORRUPT}").isNull(), per_field)
+    fields = parsed.select(F.col("_doc.cik"), F.col("_doc.entityName").alias("company_name"), F.inline(sound))
+    rows = fields.select("cik", "company_name", "field", F.explode("entries").alias("e"))
+    return coerce_fact_row(rows.select("cik", "company_name", "field", "e.*").filter(has_form("form")))
 
 
 def resolve_tag_aliases(
