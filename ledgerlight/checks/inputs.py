@@ -233,7 +233,10 @@ INPUTS = {
 }
 
 
-LARGE = {"lineitem", "orders", "documents", "pages"}
+# unique keys of the tables that feed CPU-bound stages
+LARGE = {
+    "lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "documents": ["doc_id"], "pages": ["page_id"],
+}
 
 
 def portable_sql(name: str) -> str:
@@ -251,7 +254,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return spread(scan) if name in LARGE else scan
+        return spread(scan, *LARGE[name]) if name in LARGE else scan
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in INPUTS:

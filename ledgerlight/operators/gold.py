@@ -29,15 +29,14 @@ def trend() -> WindowSpec:
 
 def universe_labels(universe: DataFrame) -> DataFrame:
     """Typed labels and enrichment out of the all-text universe; absent columns come back as nulls."""
-    universe = ensure_columns(universe, dict.fromkeys(K.UNIVERSE_COLUMNS, "string"))
     readers = {"int": to_int, "double": to_float, "string": F.col}
-    return universe.select(
+    kinds = {"distress_label": "int", "distress_event_date": "string", "distress_event_type": "string"}
+    kinds |= K.ENRICHMENT_TYPES
+    typed = universe.select(
         pad_cik("cik").alias("cik"),
-        to_int("distress_label").alias("distress_label"),
-        "distress_event_date",
-        "distress_event_type",
-        *[readers[kind](name).alias(name) for name, kind in K.ENRICHMENT_TYPES.items()],
+        *[readers[kind](name).alias(name) for name, kind in kinds.items() if name in universe.columns],
     )
+    return ensure_columns(typed, kinds).select("cik", *kinds)
 
 
 def join_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:

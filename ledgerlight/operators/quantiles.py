@@ -13,10 +13,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+QUARTILES = {"q1": 0.25, "median_value": 0.5, "q3": 0.75}
 
 
 def exact_quantiles(
@@ -24,46 +25,44 @@ def exact_quantiles(
     groups: list[str],
     value: str,
     quantiles: dict[str, float],
+    others: dict[str, Column] | None = None,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group with one column per named quantile, linearly interpolated; nulls are skipped.
 
-    ``groups`` are report keys (labels, sections, calendar dates): the enclosures, one row per group, are
-    broadcast to the second pass, so the number of groups has to be bounded by the report, not by the data.
+    ``others`` are further aggregates, taken in the first pass. ``groups`` are report keys (labels, sections,
+    calendar dates): the enclosures, one row per group, are broadcast to the second pass, so the number of
+    groups has to be bounded by the report, not by the data.
     """
-    values = df.select(*groups, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    others = others or {}
     margin = 10.0 / accuracy  # ten times the rank error of the sketch
-    fractions = [
-        q for p in quantiles.values() for q in (max(p - margin, 0.0), min(p + margin, 1.0))
-    ]
-    sketch = values.groupBy(*groups).agg(
-        F.count("*").alias("_n"), F.percentile_approx("_v", fractions, accuracy).alias("_q")
+    fractions = [q for p in quantiles.values() for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    number = F.col(value).cast("double")
+    sketch = df.groupBy(*groups).agg(
+        F.count(value).alias("_n"),
+        F.percentile_approx(number, fractions, accuracy).alias("_q"),
+        *[column.alias(name) for name, column in others.items()],
     )
     # A small group is enclosed whole: there the margin could be less than one rank.
     wide = F.col("_n") > accuracy
-    enclosures = sketch.select(
-        *groups,
-        F.col("_n"),
-        F.array(*[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(p).alias("p"),
-                F.when(wide, F.col("_q")[2 * i]).otherwise(F.lit(float("-inf"))).alias("low"),
-                F.when(wide, F.col("_q")[2 * i + 1]).otherwise(F.lit(float("inf"))).alias("high"),
-            )
-            for i, (name, p) in enumerate(quantiles.items())
-        ]).alias("_e"),
-    )
+    enclosures = F.array(*[
+        F.struct(
+            F.lit(name).alias("name"),
+            F.lit(p).alias("p"),
+            F.when(wide, F.col("_q")[2 * i]).otherwise(F.lit(float("-inf"))).alias("low"),
+            F.when(wide, F.col("_q")[2 * i + 1]).otherwise(F.lit(float("inf"))).alias("high"),
+        )
+        for i, (name, p) in enumerate(quantiles.items())
+    ])
+    enclosed = sketch.select(*groups, F.struct("_n", enclosures.alias("e")).alias("_s"), *others)
+
+    values = df.select(*groups, number.alias("_v"))
     if groups:
-        renamed = enclosures.withColumnsRenamed({g: f"_g_{g}" for g in groups})
-        on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-        located = values.join(F.broadcast(renamed), on).select(*groups, "_v", "_n", "_e")
+        located = _attach(values, enclosed.select(*groups, "_s"), groups, "inner")
     else:
-        whole = enclosures.select(F.struct("_n", "_e")).scalar()
-        located = values.withColumn("_s", whole).select("_v", "_s._n", "_s._e")
-
-    near = F.filter("_e", lambda e: F.col("_v") <= e["high"])
-    pieces = located.select(*groups, "_v", "_n", F.explode(near).alias("e"))
+        located = values.withColumn("_s", enclosed.select("_s").scalar())
+    near = F.filter("_s.e", lambda e: F.col("_v") <= e["high"])
+    pieces = located.select(*groups, "_v", F.col("_s._n").alias("_n"), F.explode(near).alias("e"))
     counted = pieces.groupBy(
         *groups, "_n", F.col("e.name").alias("name"), F.col("e.p").alias("p"),
         F.when(F.col("_v") >= F.col("e.low"), F.col("_v")).alias("x"),  # null stands for all values below
@@ -83,40 +82,39 @@ def exact_quantiles(
     value_at = F.when(
         F.col("missed") | F.col("high").isNull(), F.raise_error(F.lit("quantile outside its enclosure"))
     ).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
-    return picked.groupBy(*groups).agg(
+    found = picked.groupBy(*groups).agg(
         *[F.max(F.when(F.col("name") == name, value_at)).alias(name) for name in quantiles]
     )
+    if groups:
+        return _attach(enclosed.select(*groups, *others), found, groups, "left")
+    if not others:
+        return found
+    whole = found.select(F.struct("*")).scalar()
+    return enclosed.select(*others).withColumn("_f", whole).select(*others, "_f.*")
 
 
-def exact_median(df: DataFrame, groups: list[str], value: str, alias: str) -> DataFrame:
-    return exact_quantiles(df, groups, value, {alias: 0.5})
+def _attach(left: DataFrame, report: DataFrame, groups: list[str], how: str) -> DataFrame:
+    """Join a report of one row per group; null is a group like any other."""
+    right = report.withColumnsRenamed({g: f"_g_{g}" for g in groups})
+    on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    return left.join(F.broadcast(right), on, how).drop(*right.columns[: len(groups)])
 
 
-def five_numbers(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Count, minimum, quartiles and maximum per group."""
-    known = df.filter(F.col(value).isNotNull())
-    ends = known.groupBy(*groups).agg(
-        F.count("*").alias("n"), F.min(value).alias("min_value"), F.max(value).alias("max_value")
-    )
-    quartiles = {"q1": 0.25, "median_value": 0.5, "q3": 0.75}
-    return join_reports(ends, exact_quantiles(known, groups, value, quartiles), groups)
+def exact_median(df: DataFrame, groups: list[str], value: str, alias: str, **others: Column) -> DataFrame:
+    """Median per group next to other aggregates; the median is null in a group without values."""
+    return exact_quantiles(df, groups, value, {alias: 0.5}, others)
 
 
-def join_reports(left: DataFrame, right: DataFrame, groups: list[str]) -> DataFrame:
-    """Put two reports with one row per group side by side; the right one may lack groups."""
-    if not groups:
-        whole = right.select(F.struct("*")).scalar()
-        return left.withColumn("_r", whole).select("*", "_r.*").drop("_r")
-    right = right.withColumnsRenamed({g: f"_g_{g}" for g in groups})
-    on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    return left.join(right, on, "left").drop(*[f"_g_{g}" for g in groups])
+def five_numbers(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Count, minimum, quartiles and maximum per group that has values."""
+    ends = {"n": F.count(value), "min_value": F.min(value), "max_value": F.max(value)}
+    return exact_quantiles(df, groups, value, QUARTILES, ends).filter(F.col("n") > 0)
 
 
 def describe(df: DataFrame, value: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of one column over the whole table, nulls skipped."""
-    moments = df.agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean_value"), F.stddev_samp(value).alias("std_value"),
-        F.min(value).alias("min_value"), F.max(value).alias("max_value"),
-    )
-    quartiles = exact_quantiles(df, [], value, {"q1": 0.25, "median_value": 0.5, "q3": 0.75})
-    return join_reports(moments, quartiles, [])
+    moments = {
+        "n": F.count(value), "mean_value": F.avg(value), "std_value": F.stddev_samp(value),
+        "min_value": F.min(value), "max_value": F.max(value),
+    }
+    return exact_quantiles(df, [], value, QUARTILES, moments)

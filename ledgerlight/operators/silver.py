@@ -1,8 +1,8 @@
 """Fact rows to one row per company and period.
 
-Two equivalent forms. `silver_by_steps` states each step on its own. `silver` is the form to run: one
-aggregation per (cik, period_end) that is combined on the map side, so what is shuffled is at most one row
-per task and company-period, however many facts a company or a period has.
+Two equivalent forms. `silver_by_steps` states each step on its own. `silver` is the form to run: two
+aggregations that are combined on the map side, so what is shuffled first is at most one row per task,
+company-period and field, however many facts a company or a period has.
 """
 
 from __future__ import annotations
@@ -95,37 +95,32 @@ def silver_by_steps(facts: DataFrame) -> DataFrame:
 
 
 def silver(facts: DataFrame) -> DataFrame:
-    """All steps in one aggregation.
+    """The same rows from two aggregations.
 
-    The smallest struct per field is the latest fact of that field, because its parts are laid out in the
-    order of `LATEST`; descending parts are negated. The representative filing is the smallest one among
-    those winners, which needs no further pass.
+    First the latest fact per field: the smallest struct, because its parts are laid out in the order of
+    `LATEST` and descending parts are negated. Then one pass over these survivors spreads the values over
+    columns and takes the representative filing as the smallest struct in the order of `REPRESENTATIVE`.
     """
     filed = F.coalesce(-F.unix_date("filed_date"), F.lit(LAST))
     fact = F.struct(
         filed.alias("filed"), "form_type", "fiscal_period", (-F.col("value")).alias("negated"),
         "company_name", "fiscal_year",
     )
-    winners = facts.groupBy(*KEY).agg(
-        *[F.min(F.when(F.col("field") == name, fact)).alias(name) for name in K.FACT_FIELDS]
+    latest = facts.groupBy(*KEY, "field").agg(F.min(fact).alias("won"))
+    meta = F.struct(
+        period_rank("won.fiscal_period").alias("rank"), "won.filed", "won.form_type", "won.fiscal_period",
+        "won.company_name", "won.fiscal_year",
     )
-
-    def label(name: str) -> Column:
-        won = F.col(name)
-        parts = F.struct(
-            period_rank(won["fiscal_period"]).alias("rank"), won["filed"].alias("filed"),
-            won["form_type"].alias("form_type"), won["fiscal_period"].alias("fiscal_period"),
-            won["company_name"].alias("company_name"), won["fiscal_year"].alias("fiscal_year"),
-        )
-        return F.when(won.isNotNull(), parts)
-
-    meta = F.array_min(F.array(*[label(name) for name in K.FACT_FIELDS]))
-    wide = winners.withColumn("_meta", meta).select(
-        "cik", "_meta.company_name", "period_end", "_meta.fiscal_year", "_meta.fiscal_period", "_meta.form_type",
-        F.when(F.col("_meta.filed") != LAST, F.date_from_unix_date(-F.col("_meta.filed"))).alias("filed_date"),
-        *[(-F.col(name)["negated"]).alias(name) for name in K.FACT_FIELDS],
+    wide = latest.groupBy(*KEY).agg(
+        F.min(meta).alias("meta"),
+        *[F.max(F.when(F.col("field") == name, -F.col("won.negated"))).alias(name) for name in K.FACT_FIELDS],
+    )
+    labelled = wide.select(
+        "cik", "meta.company_name", "period_end", "meta.fiscal_year", "meta.fiscal_period", "meta.form_type",
+        F.when(F.col("meta.filed") != LAST, F.date_from_unix_date(-F.col("meta.filed"))).alias("filed_date"),
+        *K.FACT_FIELDS,
     )
-    return project_canonical(derive_measures(wide))
+    return project_canonical(derive_measures(labelled))
 
 
 def silver_counts(silver_df: DataFrame) -> DataFrame:

@@ -70,7 +70,8 @@ def composite_histogram(composite: DataFrame) -> DataFrame:
 
 def median_over_time(df: DataFrame, value: str) -> DataFrame:
     """Median per period end and label."""
-    medians = exact_median(df, ["period_end", "distress_label"], value, "median_value")
+    scored = df.filter(F.col(value).isNotNull())
+    medians = exact_median(scored, ["period_end", "distress_label"], value, "median_value")
     return medians.select("period_end", group_name("distress_label").alias("company_type"), "median_value")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import constants as K
 from ledgerlight.functions.values import group_name
-from ledgerlight.operators.quantiles import exact_median, join_reports
+from ledgerlight.operators.quantiles import exact_median
 
 
 def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -33,12 +33,11 @@ def zone_distribution(gold: DataFrame) -> DataFrame:
 
 
 def score_by_label(gold: DataFrame) -> DataFrame:
-    means = gold.groupBy("distress_label").agg(
-        F.round(F.avg("altman_z_score"), 2).alias("mean_z"), F.count("altman_z_score").alias("n_scores")
+    report = exact_median(
+        gold, ["distress_label"], "altman_z_score", "median_z",
+        mean_z=F.avg("altman_z_score"), n_scores=F.count("altman_z_score"),
     )
-    medians = exact_median(gold, ["distress_label"], "altman_z_score", "median_z")
-    joined = join_reports(means, medians, ["distress_label"])
-    return joined.withColumn("median_z", F.round("median_z", 2))
+    return report.withColumns({"mean_z": F.round("mean_z", 2), "median_z": F.round("median_z", 2)})
 
 
 def recall(gold: DataFrame) -> DataFrame:
@@ -51,16 +50,24 @@ def recall(gold: DataFrame) -> DataFrame:
 
 
 def group_table(gold: DataFrame) -> DataFrame:
-    counts = gold.groupBy("distress_label").agg(
-        F.count_distinct("cik").alias("companies"),
-        F.count("*").alias("periods_total"),
-        F.count("altman_z_score").alias("periods_scored"),
-        F.round(F.avg("altman_z_score"), 2).alias("mean_z"),
+    """Counts and mean per label out of per-company counts, joined by label with the median."""
+    per_company = gold.groupBy("distress_label", "cik").agg(
+        F.count("*").alias("periods"),
+        F.count("altman_z_score").alias("scored"),
+        F.sum("altman_z_score").alias("total_z"),
+    )
+    counts = per_company.groupBy("distress_label").agg(
+        F.count("*").alias("companies"),
+        F.sum("periods").alias("periods_total"),
+        F.sum("scored").alias("periods_scored"),
+        F.sum("total_z").alias("total_z"),
     )
     medians = exact_median(gold, ["distress_label"], "altman_z_score", "median_z")
-    return join_reports(counts, medians, ["distress_label"]).select(
+    mean = F.col("total_z") / F.nullif(F.col("periods_scored"), F.lit(0))
+    return counts.join(medians, "distress_label").select(
         group_name("distress_label").alias("company_group"),
-        "companies", "periods_total", "periods_scored", "mean_z", F.round("median_z", 2).alias("median_z"),
+        "companies", "periods_total", "periods_scored",
+        F.round(mean, 2).alias("mean_z"), F.round("median_z", 2).alias("median_z"),
     )
 
 

@@ -22,6 +22,7 @@ def get_session(app: str = "ledgerlight", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "snappy",
+        "spark.sql.dataFrameQueryContext.enabled": "false",  # no stack capture per column expression
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

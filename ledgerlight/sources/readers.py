@@ -12,14 +12,15 @@ from ledgerlight.operators.filings import read_submission_rows
 from ledgerlight.operators.text_features import parse_object_name
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, *key: str) -> DataFrame:
     """A scan with at least one partition per core.
 
     A small table in one file is one task, which would run a CPU-bound stage on one core. A large table has
-    more partitions than that and is returned as it is. Rows are dealt out in turn, so no key can be hot.
+    more partitions than that and is returned as it is. ``key`` is the table's unique key, so no value of it
+    can be hot.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *key)
 
 
 def read_documents(
