@@ -674,14 +674,14 @@ answer_query("nlp12_other_fields", ["risk_level"])
 answer_query("nlp13_neutral_fallback", ["sentiment_score", "sentiment_label", "risk_level", "llm_raw"], {"sentiment_score": 8})
 
 
-def length_scorer(prompt: str) -> str:
-    """Stands in for a model: answers by the length of the prompt and fails on some."""
-    if len(prompt) % 7 == 0:
-        raise ValueError("no answer")
-    return f'{{"sentiment_score": {len(prompt) % 10 - 5}, "risk_level": "high"}}'
+def _scored(t: Inputs) -> DataFrame:
+    """A stand-in for a model answers by the length of the prompt and fails on some prompts."""
 
+    def length_scorer(prompt: str) -> str:
+        if len(prompt) % 7 == 0:
+            raise ValueError("no answer")
+        return f'{{"sentiment_score": {len(prompt) % 10 - 5}, "risk_level": "high"}}'
 
-def _scored(t: Inputs) -> DataFrame:
     prompts = N.build_prompt(N.parse_object_name(t.filing_text), SHORT_TEMPLATES)
     answered = N.score_documents(prompts.select("doc_id", "prompt"), length_scorer, parallelism=8)
     return answered.select("doc_id", "response.raw", "response.error")

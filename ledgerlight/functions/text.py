@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerlight import constants as K
-from ledgerlight.functions.values import _col, bare_cik, first_match, pad_cik, strip
+from ledgerlight.functions.values import _col, bare_cik, pad_cik, strip
 
 
 def decode_text(content: Column | str) -> Column:
@@ -34,6 +35,21 @@ def truncate_utf8(text: Column | str, max_bytes: int) -> Column:
     return F.when(F.octet_length(text) > max_bytes, decode_text(head)).otherwise(text)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed one time, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _from_match(text: Column, pattern: str) -> Column:
+    """The text from the first match on, or null."""
+    return F.nullif(F.regexp_extract(text, f"(?s){pattern}.*", 0), F.lit(""))
+
+
+def _before_match(text: Column, pattern: str) -> Column:
+    """The text up to the first match, or null."""
+    return once(F.split(text, pattern, 2), lambda parts: F.when(F.size(parts) == 2, F.get(parts, 0)))
+
+
 def extract_section(text: Column | str, section: str, max_bytes: int | None = None) -> Column:
     """One section of a cleaned filing, or null when its heading is not found.
 
@@ -42,17 +58,18 @@ def extract_section(text: Column | str, section: str, max_bytes: int | None = No
     rather than on positions: Java counts UTF-16 units where SQL counts characters.
     """
     text = _col(text)
-    starts = [f"(?i){pattern}" for pattern in K.SECTION_STARTS[section]]
-    tail = first_match(
-        F.lit(None).cast("string"),
-        [(text.rlike(start), F.regexp_extract(text, f"(?s){start}.*", 0)) for start in starts],
-    )
-    heading = F.substring(tail, 1, K.SECTION_HEADING_CHARS)
-    rest = F.substr(tail, F.lit(K.SECTION_HEADING_CHARS + 1))
-    ends = [f"(?i){pattern}" for pattern in K.SECTION_ENDS[section]]
-    body = first_match(rest, [(rest.rlike(end), F.get(F.split(rest, end, 2), 0)) for end in ends])
-    found = strip(F.concat(heading, body))
-    return found if max_bytes is None else truncate_utf8(found, max_bytes)
+    tail = F.coalesce(*[_from_match(text, f"(?i){pattern}") for pattern in K.SECTION_STARTS[section]])
+
+    def body(rest: Column) -> Column:
+        return F.coalesce(*[_before_match(rest, f"(?i){end}") for end in K.SECTION_ENDS[section]], rest)
+
+    def cut(found: Column) -> Column:
+        heading = F.substring(found, 1, K.SECTION_HEADING_CHARS)
+        rest = F.substr(found, F.lit(K.SECTION_HEADING_CHARS + 1))
+        return strip(F.concat(heading, once(rest, body)))
+
+    section_text = once(tail, cut)
+    return section_text if max_bytes is None else once(section_text, lambda t: truncate_utf8(t, max_bytes))
 
 
 def count_terms(text: Column | str, terms: list[str]) -> Column:

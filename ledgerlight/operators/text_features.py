@@ -174,13 +174,15 @@ def score_documents(
     the partitioning of the scan would leave executors idle.
     """
 
+    longest = K.ERROR_CHARS  # a plain value, so that executors need not have this package
+
     @F.pandas_udf(RESPONSE_TYPE)
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         def one(text: str) -> tuple[str | None, str | None]:
             try:
                 return scorer(text), None
             except Exception as problem:  # noqa: BLE001 - any scorer failure belongs to its row
-                return None, str(problem)[: K.ERROR_CHARS]
+                return None, str(problem)[:longest]
 
         for batch in batches:
             yield pd.DataFrame([one(text) for text in batch], columns=["raw", "error"], dtype=object)

@@ -40,13 +40,19 @@ def score_by_label(gold: DataFrame) -> DataFrame:
     return report.withColumns({"mean_z": F.round("mean_z", 2), "median_z": F.round("median_z", 2)})
 
 
+def _labelled_companies(gold: DataFrame) -> DataFrame:
+    """Per labelled company whether it has a score and whether it was ever in the distress zone."""
+    reached = F.coalesce(F.col("distress_zone") == "distress", F.lit(False))
+    return gold.filter(F.col("distress_label") == 1).groupBy("cik").agg(
+        F.max(F.col("altman_z_score").isNotNull()).alias("scored"), F.max(reached).alias("reached"),
+    )
+
+
 def recall(gold: DataFrame) -> DataFrame:
     """Labelled companies that were in the distress zone at least once."""
-    flagged = F.count_distinct(F.when(F.col("distress_zone") == "distress", F.col("cik")))
-    counts = gold.filter(F.col("distress_label") == 1).agg(
-        flagged.alias("flagged"), F.count_distinct("cik").alias("total")
-    )
-    return counts.withColumn("pct", F.when(F.col("total") > 0, _percent(F.col("flagged"), F.col("total"))))
+    counts = _labelled_companies(gold).agg(F.count_if("reached").alias("flagged"), F.count("*").alias("total"))
+    share = _percent(F.col("flagged"), F.nullif(F.col("total"), F.lit(0)))
+    return counts.withColumn("pct", share)
 
 
 def group_table(gold: DataFrame) -> DataFrame:
@@ -81,15 +87,7 @@ def zone_shares(gold: DataFrame) -> DataFrame:
 
 def recall_scored(gold: DataFrame) -> DataFrame:
     """Recall among the labelled companies that have a score at all."""
-    per_company = (
-        gold.filter(F.col("distress_label") == 1)
-        .groupBy("cik")
-        .agg(
-            F.max(F.col("altman_z_score").isNotNull()).alias("scored"),
-            F.max(F.coalesce(F.col("distress_zone") == "distress", F.lit(False))).alias("reached"),
-        )
-    )
-    counts = per_company.agg(
+    counts = _labelled_companies(gold).agg(
         F.count("*").alias("companies_with_data"),
         F.count_if("scored").alias("companies_with_zscore"),
         F.count_if("reached").alias("reached_distress"),

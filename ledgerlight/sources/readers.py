@@ -68,11 +68,15 @@ def _header_columns(spark: SparkSession, path: str, encoding: str) -> list[str]:
     return spark.read.option("encoding", encoding).option("header", True).csv(path).columns
 
 
-def _read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", mode: str = "PERMISSIVE") -> DataFrame:
+def _read_csv(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", drop_wide: bool = False
+) -> DataFrame:
+    """All cells as text. Short lines are filled with nulls; surplus cells are cut, or their lines dropped."""
     names = _header_columns(spark, path, encoding)
-    schema = ", ".join(f"`{name}` STRING" for name in names)
-    options = {"header": True, "encoding": encoding, "escape": '"', "mode": mode}
-    return spark.read.options(**options).schema(schema).csv(path)
+    schema = ", ".join(f"`{name}` STRING" for name in [*names, "_surplus"])
+    options = {"header": True, "encoding": encoding, "escape": '"', "enforceSchema": True}
+    rows = spark.read.options(**options).schema(schema).csv(path)
+    return (rows.filter(F.col("_surplus").isNull()) if drop_wide else rows).drop("_surplus")
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
@@ -81,9 +85,8 @@ def read_universe(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bankruptcy_cases(spark: SparkSession, path: str, drop_malformed: bool = False) -> DataFrame:
-    """The Latin-1 case file as text; blank cells are null. Optionally lines of the wrong width are dropped."""
-    mode = "DROPMALFORMED" if drop_malformed else "PERMISSIVE"
-    cases = _read_csv(spark, path, "ISO-8859-1", mode)
+    """The Latin-1 case file as text; blank cells are null. Optionally lines with too many cells are dropped."""
+    cases = _read_csv(spark, path, "ISO-8859-1", drop_malformed)
     return cases.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in cases.columns})
 
 

@@ -71,10 +71,10 @@ def land_with_lineage(
 ) -> DataFrame:
     """Append objects that are not landed yet; nothing landed is ever rewritten. Returns the rows appended.
 
-    ``landed`` holds the object names stored before; without it ``path`` is taken to be new.
+    ``landed`` holds the object names stored before; without it ``path`` is taken to be new. Names are
+    unique within one run, as they are made of company, filing and date.
     """
-    new = objects.dropDuplicates(["object_name"])
-    new = lineage_columns(new if landed is None else only_new(new, landed), extra=extra)
+    new = lineage_columns(objects if landed is None else only_new(objects, landed), extra=extra)
     new.write.mode("append").parquet(path)
     return new
 
