@@ -327,13 +327,15 @@ STEPS["answered"] = f"SELECT doc_id, section, {response_columns_sql()} FROM judg
 
 # -------------------------------------------------------------------------------------------- composite
 
+# Weights are written as doubles (0.40e0): the scores are defined in double arithmetic and zones compare them
+# unrounded, while a plain 0.40 is an exact decimal in DuckDB.
 STEPS["doc_signals"] = """
 SELECT *, (1 - greatest(-1.0, least(1.0, sentiment_score))) / 2 AS sent_distress_raw,
   CASE lower(risk_level) WHEN 'low' THEN 0 WHEN 'medium' THEN 33 WHEN 'high' THEN 67 WHEN 'critical' THEN 100
     ELSE 33 END AS risk_points,
-  least(1.0, 0.35 * least(coalesce(going_concern, 0), 1) + 0.25 * least(coalesce(going_concern_explicit, 0), 1)
-    + 0.20 * least(coalesce(liquidity_risk, 0), 1) + 0.10 * least(coalesce(covenant_breach_mentioned, 0), 1)
-    + 0.10 * least(coalesce(restructuring, 0), 1)) AS flag_score
+  least(1e0, 0.35e0 * least(coalesce(going_concern, 0), 1) + 0.25e0 * least(coalesce(going_concern_explicit, 0), 1)
+    + 0.20e0 * least(coalesce(liquidity_risk, 0), 1) + 0.10e0 * least(coalesce(covenant_breach_mentioned, 0), 1)
+    + 0.10e0 * least(coalesce(restructuring, 0), 1)) AS flag_score
 FROM text_features
 """
 STEPS["signals"] = """
@@ -354,9 +356,9 @@ FROM (
 STEPS["components"] = """
 SELECT *, CASE WHEN altman_z_score IS NULL THEN 0.5 WHEN altman_z_score <= 0 THEN 1.0
     WHEN altman_z_score >= 5 THEN 0.0 ELSE 1 - altman_z_score / 5 END AS z_component,
-  CAST(0.40 * revenue_declining_3q + 0.30 * net_income_declining_3q
-    + 0.20 * CASE WHEN revenue_growth_qoq < -0.10 THEN 1 ELSE 0 END
-    + 0.10 * CASE WHEN net_income_growth_qoq < -0.15 THEN 1 ELSE 0 END AS DOUBLE) AS trend_component
+  0.40e0 * revenue_declining_3q + 0.30e0 * net_income_declining_3q
+    + 0.20e0 * CASE WHEN revenue_growth_qoq < -0.10 THEN 1 ELSE 0 END
+    + 0.10e0 * CASE WHEN net_income_growth_qoq < -0.15 THEN 1 ELSE 0 END AS trend_component
 FROM gold
 """
 OUTCOME_SQL = (

@@ -50,8 +50,8 @@ def add(name: str, plan: Plan, sql: str | None = None, digits: dict[str, int] |
 SILVER = ", ".join(K.SILVER_COLUMNS)
 KEYS = "cik, period_end"
 Z = {"altman_z_score": 8}
-RATIOS = dict.fromkeys(K.Z_WEIGHTS, 8)
-GROWTHS = dict.fromkeys(["revenue_growth_qoq", "net_income_growth_qoq", "asset_growth_qoq"], 8)
+# Single divisions are left unrounded: both engines agree on every bit, while rounding can meet a tie.
+GROWTHS = ["revenue_growth_qoq", "net_income_growth_qoq", "asset_growth_qoq"]
 PARTS = dict.fromkeys(K.COMPOSITE_WEIGHTS, 8)
 
 
@@ -447,7 +447,6 @@ add(
     "gld3_altman_ratios",
     lambda t: G.with_ratios(t.base).select("cik", "period_end", *K.Z_WEIGHTS),
     f"SELECT {KEYS}, {', '.join(K.Z_WEIGHTS)} FROM ratios",
-    RATIOS,
 )
 add(
     "gld4_altman_z",
@@ -470,7 +469,6 @@ add(
     "gld7_growth",
     lambda t: G.with_growth(G.with_previous(t.base)).select("cik", "period_end", *GROWTHS),
     f"SELECT {KEYS}, {', '.join(GROWTHS)} FROM gold",
-    GROWTHS,
 )
 add(
     "gld8_declining_3",
@@ -486,7 +484,7 @@ add(
     "gld9_gold_ordered",
     lambda t: G.gold_ordered(t.gold).select(*GOLD_CELLS),
     f"SELECT {', '.join(GOLD_CELLS)} FROM gold",
-    RATIOS | Z | GROWTHS,
+    Z,
 )
 add(
     "gld10_zone_counts",
@@ -1195,5 +1193,5 @@ add(
     "dsh28_raw_explorer",
     lambda t: D.raw_explorer(t.gold),
     f"SELECT {', '.join(K.EXPLORER_COLUMNS)} FROM gold",
-    Z | RATIOS | {"revenue_growth_qoq": 8, "net_income_growth_qoq": 8},
+    Z,
 )

@@ -134,3 +134,12 @@ def test_contributions_for_a_handful(gold, texts):
     parts = D.contributions(build_composite(gold, texts), ["A"]).collect()
     assert [r.period_end.year for r in parts] == [2020, 2021]
     assert (parts[0].z_contribution, parts[0].trend_contribution) == (0.6, 0.2)
+
+
+def test_all_trend_signals_with_neutral_parts_stay_grey(spark):
+    """0.5 * 0.6 + 0.5 * 0.2 + trend * 0.2 is not above 0.60 in double arithmetic."""
+    row = (7, "N", day("2020-12-31"), 0, None, None, 1, 1, -0.5, -0.5, None, None)
+    out = build_composite(spark.createDataFrame([row], GOLD)).first()
+    trend = 0.40 + 0.30 + 0.20 + 0.10
+    assert out.composite_score == 0.60 * 0.5 + 0.20 * 0.5 + 0.20 * trend
+    assert out.composite_zone == "grey"
