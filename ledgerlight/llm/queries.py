@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import byte_bpe, chat_format, sharding
+from ledgerlight.llm import byte_bpe, chat_format, quality_rank, quality_rules, sharding, textstats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,6 +85,13 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    forest = quality_rules.fit_forest(docs, table(spark, folder, "labels"))
+    return quality_rules.judge(docs, forest).select("doc_id", *textstats.COUNTS, "base_failed", "kept", "path_length", "anomalous")
+
+
 SHARDS = 24
 
 
@@ -92,3 +99,11 @@ SHARDS = 24
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, folder, "documents"), SHARDS)
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    ranker = quality_rank.fit_ranker(docs, table(spark, folder, "labels"), where=quality_rank.training_rows(F.col("key")))
+    scored = quality_rank.score(docs, ranker)
+    return scored.select("doc_id", (~quality_rank.training_rows(F.col("doc_id"))).alias("held_out"), "score", "predicted")
