@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import byte_bpe, chat_format, quality_rank, quality_rules, sharding, textstats
+from ledgerlight.llm import byte_bpe, chat_format, jaccard_join, quality_rank, quality_rules, sharding, textstats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,6 +85,11 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, folder, "documents"))
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
