@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import byte_bpe, chat_format, jaccard_join, quality_rank, quality_rules, sharding, textstats
+from ledgerlight.llm import byte_bpe, chat_format, jaccard_join, quality_rank, quality_rules, sharding, suffix_dedup, textstats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256(F.col("kept")).alias("kept_sha256"))
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 

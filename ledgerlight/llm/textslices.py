@@ -26,22 +26,28 @@ NO_KEY = np.iinfo(np.int64).min
 
 
 class Slice:
-    """Keys (64-bit integers) and the bytes of the texts data[ends[i]:ends[i + 1]]."""
+    """Keys (64-bit integers), the bytes of the texts data[ends[i]:ends[i + 1]], and other columns as an Arrow stream."""
 
-    def __init__(self, keys: np.ndarray, ends: np.ndarray, data: np.ndarray):
-        self.keys, self.ends, self.data = keys, ends, data
+    def __init__(self, keys: np.ndarray, ends: np.ndarray, data: np.ndarray, rest: bytes = b""):
+        self.keys, self.ends, self.data, self.rest = keys, ends, data, rest
 
-    def pack(self) -> bytes:
-        head = np.array([len(self.keys)], "<i8").tobytes()
-        return zstandard.ZstdCompressor(level=1).compress(b"".join([head, self.keys.tobytes(), self.ends.tobytes(), self.data.tobytes()]))
+    def pack(self, level: int = 1) -> bytes:
+        head = np.array([len(self.keys), len(self.rest)], "<i8").tobytes()
+        return zstandard.ZstdCompressor(level=level).compress(b"".join([head, self.keys.tobytes(), self.ends.tobytes(), self.rest, self.data.tobytes()]))
 
     @staticmethod
     def unpack(packed: bytes) -> Slice:
         raw = zstandard.ZstdDecompressor().decompress(packed)
-        n = int(np.frombuffer(raw, "<i8", 1)[0])
-        keys = np.frombuffer(raw, "<i8", n, 8)
-        ends = np.frombuffer(raw, "<i8", n + 1, 8 + 8 * n)
-        return Slice(keys, ends, np.frombuffer(raw, np.uint8, offset=8 * (2 * n + 2)))
+        n, rest = np.frombuffer(raw, "<i8", 2).tolist()
+        begin = 16 * (n + 1) + 8
+        return Slice(
+            np.frombuffer(raw, "<i8", n, 16), np.frombuffer(raw, "<i8", n + 1, 16 + 8 * n), np.frombuffer(raw, np.uint8, offset=begin + rest),
+            raw[begin:begin + rest],
+        )
+
+    def columns(self) -> pa.Table:
+        """The other columns."""
+        return pa.ipc.open_stream(self.rest).read_all()
 
     def parts(self, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(position of the first text, bytes, ends) of consecutive texts with about so many bytes."""
@@ -52,9 +58,12 @@ class Slice:
             begin = end
 
 
-def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SLICE_BYTES) -> DataFrame:
-    """slice, packed: all documents, stored. No shuffle."""
-    source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SLICE_BYTES, level: int = 1, rest: bool = False) -> DataFrame:
+    """slice, packed: all documents, stored; with ``rest`` the other columns too. No shuffle."""
+    others = [name for name in docs.columns if name != text] if rest else []
+    source = docs.select(
+        F.col(key).cast("long").alias("__key"), F.col(text).cast("string").alias("__text"), *(F.col(f"`{name}`") for name in others)
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bytes_held, made = [], 0, 0
@@ -62,9 +71,14 @@ def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: in
 
         def flush() -> pa.RecordBatch:
             nonlocal held, bytes_held, made
-            keys = np.concatenate([k for k, _, _ in held])
-            ends = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e, _ in held]))])
-            packed = Slice(keys, ends.astype(np.int64), np.concatenate([d for _, _, d in held])).pack()
+            keys = np.concatenate([k for k, _, _, _ in held])
+            ends = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e, _, _ in held]))])
+            sink = pa.BufferOutputStream()
+            if others:
+                with pa.ipc.new_stream(sink, held[0][3].schema) as stream:
+                    for _, _, _, rows in held:
+                        stream.write_batch(rows)
+            packed = Slice(keys, ends.astype(np.int64), np.concatenate([d for _, _, d, _ in held]), sink.getvalue().to_pybytes()).pack(level)
             out = pa.RecordBatch.from_arrays([pa.array([part * SLICES + made], pa.int64()), pa.array([packed], pa.binary())], ["slice", "packed"])
             held, bytes_held, made = [], 0, made + 1
             return out
@@ -72,13 +86,15 @@ def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: in
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            keys = batch.column("key").fill_null(int(NO_KEY)).to_numpy(zero_copy_only=False)
-            data, ends = buffers(binary_column(batch, "text"))
+            keys = batch.column("__key").fill_null(int(NO_KEY)).to_numpy(zero_copy_only=False)
+            data, ends = buffers(binary_column(batch, "__text"))
+            columns = batch.select(others) if others else None
             begin = 0
             while begin < len(keys):
                 room = max(size - bytes_held, 1)
                 end = min(len(keys), max(begin + 1, int(np.searchsorted(ends, ends[begin] + room, side="right")) - 1))
-                held.append((keys[begin:end].copy(), ends[begin:end + 1].copy(), data[ends[begin]:ends[end]].copy()))
+                rows = columns.slice(begin, end - begin) if others else None
+                held.append((keys[begin:end].copy(), ends[begin:end + 1].copy(), data[ends[begin]:ends[end]].copy(), rows))
                 bytes_held += int(ends[end] - ends[begin]) + 8 * (end - begin)
                 begin = end
                 if bytes_held >= size:
