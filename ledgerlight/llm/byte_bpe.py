@@ -15,6 +15,7 @@ import base64
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from ledgerlight.llm.common import slices
 SLICE_BYTES = 8 << 20
 BLOCK_CHARS = 4 << 20
 #: Encoded words that a Python worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 #: A rank file larger than this isn't broadcast.
 MAX_MODEL_BYTES = 64 << 20
 
@@ -121,35 +122,30 @@ class Encoder:
         self._whole = {token: rank for rank, token in enumerate(vocabulary.tokens)}
         self._known: dict[str, bytes] = {}
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
     def _encode_pretokens(self, pretokens: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(pretokens)
-        rest, mapped = [], []
-        for i, pretoken in enumerate(pretokens):
-            raw = pretoken.encode("utf-8", "surrogatepass")
-            rank = self._whole.get(raw)
-            if rank is not None:
-                out[i] = struct.pack("<I", rank)
-            else:
-                rest.append(i)
-                mapped.append(raw.decode("latin-1").translate(self._map))
-        for i, ids in zip(rest, self._processor.encode(mapped, out_type=int, num_threads=1) if mapped else []):
-            out[i] = self._pack(ids)
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        new = list(words - self._known.keys())
+        """The packed ids of each pre-token: its own rank if it is a token, else what merging gives."""
+        raw = [pretoken.encode() for pretoken in pretokens]
+        ranks = list(map(self._whole.get, raw))
+        mapped = [r.decode("latin-1").translate(self._map) for r, rank in zip(raw, ranks) if rank is None]
+        merged = iter(self._processor.encode(mapped, out_type=int, num_threads=1) if mapped else [])
+        return [next(merged) if rank is None else (rank,) for rank in ranks]
+
+    def _learn(self, words: Iterable[str]) -> None:
+        known, words = self._known, set(words)
+        new = [word for word in words if word not in known]
         if not new:
             return
-        if len(self._known) + len(new) > REMEMBERED:
-            self._known.clear()
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
             new = list(words)
-        split = [self._pretokens.findall(word) for word in new]
-        encoded = iter(self._encode_pretokens([p for pretokens in split for p in pretokens]))
+        split = list(map(self._pretokens.findall, new))
+        encoded = self._encode_pretokens(list(chain.from_iterable(split)))
+        at = 0
         for word, pretokens in zip(new, split):
-            self._known[word] = b"".join(next(encoded) for _ in pretokens)
+            n = len(pretokens)
+            ids = encoded[at] if n == 1 else list(chain.from_iterable(encoded[at:at + n]))
+            known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            at += n
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
         """The words of a text, a bounded number of characters at a time."""
@@ -172,13 +168,30 @@ class Encoder:
             begin = end if end >= 0 else len(text)
 
     def encode(self, text: str) -> bytes:
-        out = []
-        for words in self._blocks(text):
-            for begin in range(0, len(words), REMEMBERED):
-                some = words[begin:begin + REMEMBERED]
-                self._learn(set(some))
-                out.append(b"".join(map(self._known.__getitem__, some)))
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of each text. New words of neighbouring texts are learned together."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+        held = 0
+
+        def settle() -> None:
+            self._learn(chain.from_iterable(words for _, words in waiting))
+            for i, words in waiting:
+                out[i].append(b"".join(map(self._known.__getitem__, words)))
+
+        for i, text in enumerate(texts):
+            for words in self._blocks(text):
+                for begin in range(0, len(words), REMEMBERED):
+                    some = words[begin:begin + REMEMBERED]
+                    if held + len(some) > REMEMBERED:
+                        settle()
+                        waiting, held = [], 0
+                    waiting.append((i, some))
+                    held += len(some)
+        settle()
+        return list(map(b"".join, out))
 
 
 def _added(df: DataFrame, *fields: T.StructField) -> T.StructType:
@@ -208,7 +221,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
         encoder = Encoder(shared.value)
         for batch in batches:
             for rows, texts in slices(batch, text, SLICE_BYTES):
-                out = [encoder.encode(raw.as_py().decode("utf-8", "replace")) for raw in texts]
+                out = encoder.encode_all([raw.as_py().decode("utf-8", "replace") for raw in texts])
                 columns = [rows.column(name) for name in kept]
                 counts = pa.array([len(packed) // 4 for packed in out], pa.int64())
                 yield pa.RecordBatch.from_arrays([*columns, counts, pa.array(out, pa.binary())], [*kept, count, ids])
