@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import byte_bpe, chat_format, jaccard_join, quality_rank, quality_rules, sharding, suffix_dedup, textstats
+from ledgerlight.llm import byte_bpe, chat_format, jaccard_join, language_model, quality_rank, quality_rules, sharding, suffix_dedup, textstats
+from ledgerlight.llm.textslices import NO_KEY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +121,13 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     ranker = quality_rank.fit_ranker(docs, table(spark, folder, "labels"), where=quality_rank.training_rows(F.col("key")))
     scored = quality_rank.score(docs, ranker)
     return scored.select("doc_id", (~quality_rank.training_rows(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
+def lm_training(keys: np.ndarray) -> np.ndarray:
+    """Rows that the language model learns from; a null key counts as an empty text."""
+    return np.array([zlib.crc32(b"" if key == NO_KEY else str(key).encode()) % 7 != 2 for key in keys.tolist()], bool)
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_texts(table(spark, folder, "documents"), lm_training)

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ledgerlight.llm import wordvec as W
 from ledgerlight.llm.common import checkpointed, shuffle_partitions
-from ledgerlight.llm.textslices import NO_KEY, Slice, each_slice, slices_of, split
+from ledgerlight.llm.textslices import NO_KEY, Slice, columns_of, each_slice, rows_of, slices_of, split
 
 SIZE = 100
 #: Bytes of the window whose hash makes an anchor.
@@ -40,31 +40,6 @@ SPAN = np.dtype([("row", "<u4"), ("start", "<u4"), ("length", "u1")])
 FETCH = np.dtype([("row", "<u4"), ("start", "<u4"), ("length", "u1"), ("anchor", "<u4"), ("bucket", "<u4")])
 
 
-def columns_of(rows: np.ndarray) -> bytes:
-    """A structured array column by column, integers as narrow as their range allows."""
-    out = [np.array([len(rows)], "<u4").tobytes()]
-    for name in rows.dtype.names:
-        values = rows[name]
-        least = values.min() if len(values) else values.dtype.type(0)
-        span = int(values.max()) - int(least) if len(values) else 0
-        width = next(w for w in (1, 2, 4, 8) if span < 1 << 8 * w)
-        shifted = (values - least) if values.dtype.kind == "u" else (values.view("<u8") - least.view("<u8"))
-        out += [np.array([width], "u1").tobytes(), np.array([int(least)]).astype("<i8" if values.dtype.kind == "i" else "<u8").tobytes(), shifted.astype(f"<u{width}").tobytes()]
-    return b"".join(out)
-
-
-def rows_of(packed, dtype: np.dtype) -> np.ndarray:
-    n = int(np.frombuffer(packed, "<u4", 1)[0])
-    out, at = np.zeros(n, dtype), 4
-    for name in dtype.names:
-        width = int(np.frombuffer(packed, "u1", 1, at)[0])
-        least = np.frombuffer(packed, "<u8", 1, at + 1)[0]
-        values = np.frombuffer(packed, f"<u{width}", n, at + 9).astype("<u8") + least
-        out[name] = values.view("<i8") if dtype[name].kind == "i" else values
-        at += 9 + width * n
-    return out
-
-
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
     """The smallest of keys[i:i + width], for every i that has so many."""
     reach, now = 1, keys
