@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import byte_bpe, chat_format, jaccard_join, language_model, quality_rank, quality_rules, sharding, suffix_dedup, textstats
+from ledgerlight.llm import (
+    byte_bpe, chat_format, decontaminate, jaccard_join, language_model, quality_rank, quality_rules, sharding, suffix_dedup, textstats,
+    warc_derivatives,
+)
 from ledgerlight.llm.textslices import NO_KEY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +58,20 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256(F.col("kept")).alias("kept_sha256"))
 
 
+#: The pages have no date of their own; all records get this one.
+CAPTURED = "2024-01-01T00:00:00Z"
+
+
+@query("op3_warc_derivatives")
+def op3_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    responses = warc_derivatives.response_records(table(spark, folder, "pages"), CAPTURED)
+    return warc_derivatives.build_derivatives(responses).select(
+        "page_id", "type", "record_id", "refers_to", "source_payload_digest", "block_digest",
+        F.octet_length("content").cast("long").alias("content_bytes"), F.octet_length("record").cast("long").alias("record_bytes"),
+        sha256(F.col("content")).alias("content_sha256"),
+    )
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -99,6 +116,11 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join_components(table(spark, folder, "documents"))
 
 
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
