@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlight.llm import wordvec as W
 from ledgerlight.llm.common import checkpointed, shuffle_partitions
 from ledgerlight.llm.components import components
-from ledgerlight.llm.textslices import NO_KEY, ROWS, arrays, each_slice, slices_of, split
+from ledgerlight.llm.textslices import NO_KEY, ROWS, Slice, arrays, each_slice, slices_of, split
 
 WINDOW = 5
 PART_BYTES = 1 << 20
@@ -148,8 +148,6 @@ def _sets(slices: DataFrame, reps: DataFrame, window: int) -> DataFrame:
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         uids, out = [], []
         if len(texts) and len(wanted):
-            from ledgerlight.llm.textslices import Slice
-
             part = Slice.unpack(texts["packed"][0].as_buffer())
             name = texts["slice"][0].as_py()
             rows = np.sort(wanted["uid"].to_numpy() - name * ROWS)
@@ -335,21 +333,19 @@ def _grouped(sets: DataFrame, groups: DataFrame, roots: DataFrame) -> DataFrame:
     ).select("uid", "root", "tokens", "block", "home", "pair.left", "pair.right")
 
 
-def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """key, n_shingles, component_id of every row: the size of its set and the smallest key that links lead to."""
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
-    slices = slices_of(docs, key, text)
+def _joined(slices: DataFrame, window: int) -> DataFrame:
+    """uid, key, n, component (smallest key) and keeper (uid of a row with that key) of every row."""
+    buckets = 4 * shuffle_partitions(slices.sparkSession)
     answered = _count_requests(slices, buckets, window).groupBy("bucket").applyInArrow(_shared_counts, "slice long, rows binary, counts binary")
     members = checkpointed(answered.groupBy("slice").applyInArrow(_members, "uid long, key long, n long, one long, two long, open boolean"))
     opened = members.where("open")
-    rep = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "uid"))
-    vertices = checkpointed(opened.groupBy("one", "two").agg(rep.alias("rep"), F.max("n").alias("n")).select("one", "two", "n", "rep.key", "rep.uid"))
+    first = F.struct(F.col("key").isNull().alias("no_key"), "key", "uid")
+    vertices = checkpointed(opened.groupBy("one", "two").agg(F.min(first).alias("rep"), F.max("n").alias("n")).select("one", "two", "n", "rep", "rep.uid"))
     sets = checkpointed(_sets(slices, vertices, window))
     roots = components(_prefix_edges(sets, buckets))
     sizes = vertices.select("uid", "n").join(roots.withColumnRenamed("node", "uid"), "uid")
     heads = vertices.select(F.col("uid").alias("root"), "n").join(roots.select("root").distinct(), "root")
-    groups = sizes.select("root", "n").unionByName(heads.select("root", "n")).groupBy("root").agg(F.sum("n").alias("windows"))
-    groups = checkpointed(groups)
+    groups = checkpointed(sizes.select("root", "n").unionByName(heads.select("root", "n")).groupBy("root").agg(F.sum("n").alias("windows")))
     total = groups.agg(F.sum("windows")).first()[0] or 0
     homes = max(1, -(-2 * total // GROUP_WINDOWS), min(buckets, total // 50_000))
     groups = groups.select(
@@ -360,8 +356,28 @@ def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     links = tasks.groupBy("home", "left", "right").applyInArrow(_links, "a long, b long")
     joined = components(links)
     found = vertices.join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    least = found.groupBy("root").agg(F.min("key").alias("component"))
-    classes = found.join(least, "root").select("one", "two", "component")
-    closed = members.where("NOT open").select("key", "n", F.col("key").alias("component"))
-    placed = opened.join(classes, ["one", "two"]).select("key", "n", "component").unionByName(closed)
-    return placed.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    least = found.groupBy("root").agg(F.min("rep").alias("least"))
+    classes = found.join(least, "root").select("one", "two", F.col("least.key").alias("component"), F.col("least.uid").alias("keeper"))
+    closed = members.where("NOT open").select("uid", "key", "n", F.col("key").alias("component"), F.col("uid").alias("keeper"))
+    return opened.join(classes, ["one", "two"]).select("uid", "key", "n", "component", "keeper").unionByName(closed)
+
+
+def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """key, n_shingles, component_id of every row: the size of its set and the smallest key that links lead to."""
+    return _joined(slices_of(docs, key, text), window).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """One row of each component, one with its smallest key; rows that are linked with nothing stay. All columns stay as they are."""
+    slices = slices_of(docs, key, text, rest=True)
+    kept = _joined(slices, window).where("uid = keeper").select("uid", F.floor(F.col("uid") / ROWS).alias("slice"))
+    names = docs.columns
+
+    def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
+        part = Slice.unpack(texts["packed"][0].as_buffer())
+        rows = pa.array(np.sort(wanted["uid"].to_numpy() - texts["slice"][0].as_py() * ROWS))
+        return part.table(text).select(names).take(rows)
+
+    return slices.groupBy("slice").cogroup(kept.groupBy("slice")).applyInArrow(run, docs.schema)

@@ -19,8 +19,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -360,6 +361,16 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     return groups.withColumnRenamed("key", key)
 
 
+def whole_characters(kept: Column) -> Column:
+    """The kept bytes as text, without the bytes of characters that were cut in two."""
+
+    @F.pandas_udf(T.StringType())
+    def decoded(values: pd.Series) -> pd.Series:
+        return values.map(lambda value: None if value is None else bytes(value).decode("utf-8", "ignore"))
+
+    return decoded(kept)
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, anchor: int = ANCHOR, rest: bool = False) -> DataFrame:
     """key, n_bytes, n_removed, spans (start, length of each maximal removed run), kept (the remaining bytes) of every row.
 
@@ -398,7 +409,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
         lists = pa.ListArray.from_arrays(
             pa.array(first, pa.int32()), pa.StructArray.from_arrays([pa.array(begins - ends[row]), pa.array(stops - begins)], ["start", "length"])
         )
-        columns = part.columns().columns if rest else [pa.array(part.keys, mask=part.keys == NO_KEY)]
+        columns = part.columns().select([f.name for f in others]).columns if rest else [pa.array(part.keys, mask=part.keys == NO_KEY)]
         texts_kept = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(part.keys), [None, pa.py_buffer(kept_ends.astype(np.int64).tobytes()), pa.py_buffer(kept.tobytes())]
         ).cast(pa.binary())

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ SLICE_BYTES = 8 << 20
 ROWS, SLICES = 1 << 24, 1 << 18
 #: Stands for a null key; it sorts before every other key.
 NO_KEY = np.iinfo(np.int64).min
+NO_TEXT = "__no_text"
 
 
 class Slice:
@@ -46,9 +48,18 @@ class Slice:
         )
 
     def columns(self) -> pa.Table:
-        """The other columns."""
+        """The other columns (and a column that tells which texts are null, under NO_TEXT)."""
         return pa.ipc.open_stream(self.rest).read_all()
 
+    def table(self, text: str) -> pa.Table:
+        """The rows as they were: the other columns and the text."""
+        texts = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(self.keys), [None, pa.py_buffer(self.ends.tobytes()), pa.py_buffer(self.data.tobytes())]
+        ).cast(pa.large_string())
+        columns = self.columns()
+        texts = pc.if_else(columns[NO_TEXT].combine_chunks(), pa.scalar(None, pa.large_string()), texts)
+        return columns.drop_columns([NO_TEXT]).append_column(text, texts.cast(pa.string()))
+
     def parts(self, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(position of the first text, bytes, ends) of consecutive texts with about so many bytes."""
         begin, n = 0, len(self.keys)
@@ -74,7 +85,7 @@ def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: in
             keys = np.concatenate([k for k, _, _, _ in held])
             ends = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e, _, _ in held]))])
             sink = pa.BufferOutputStream()
-            if others:
+            if rest:
                 with pa.ipc.new_stream(sink, held[0][3].schema) as stream:
                     for _, _, _, rows in held:
                         stream.write_batch(rows)
@@ -88,12 +99,12 @@ def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: in
                 continue
             keys = batch.column("__key").fill_null(int(NO_KEY)).to_numpy(zero_copy_only=False)
             data, ends = buffers(binary_column(batch, "__text"))
-            columns = batch.select(others) if others else None
+            columns = batch.select(others).append_column(NO_TEXT, batch.column("__text").is_null()) if rest else None
             begin = 0
             while begin < len(keys):
                 room = max(size - bytes_held, 1)
                 end = min(len(keys), max(begin + 1, int(np.searchsorted(ends, ends[begin] + room, side="right")) - 1))
-                rows = columns.slice(begin, end - begin) if others else None
+                rows = columns.slice(begin, end - begin) if rest else None
                 held.append((keys[begin:end].copy(), ends[begin:end + 1].copy(), data[ends[begin]:ends[end]].copy(), rows))
                 bytes_held += int(ends[end] - ends[begin]) + 8 * (end - begin)
                 begin = end
