@@ -3,7 +3,8 @@
 1. Every document becomes the set of its word windows; equal sets are one vertex.
 2. Half of all windows, chosen by hash, are counted over all documents. A set with more windows that occur nowhere else than its
    overlap may miss has no partner. This bound is exact, and it leaves out most documents before anything large is moved.
-3. The rest send the windows of an exact prefix filter; vertices that share one form candidate groups.
+3. The rest count their windows again, now among themselves, and send those of an exact prefix filter, the rarest first; vertices that share
+   one form candidate groups.
 4. Inside a group a signature tree is built: each node holds the OR of its sets' bitmaps, their sizes' range and the slack between set
    size and bitmap. The tree is traversed against itself; a pair of nodes is dropped if its largest possible overlap is too small, or if
    all its sets are linked already. What remains at the leaves is compared exactly.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import wordvec as W
-from ledgerlight.llm.common import checkpointed, shuffle_partitions
+from ledgerlight.llm.common import checkpointed, packed, shuffle_partitions
 from ledgerlight.llm.components import components
 from ledgerlight.llm.textslices import NO_KEY, ROWS, Slice, arrays, each_slice, slices_of, split
 
@@ -143,7 +144,7 @@ def _members(table: pa.Table) -> pa.Table:
 
 
 def _sets(slices: DataFrame, reps: DataFrame, window: int) -> DataFrame:
-    """uid, n, tokens of the vertices' representatives."""
+    """slice, uids, sizes, tokens: the sets of the vertices' representatives, one row for each slice that has some."""
 
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         uids, out = [], []
@@ -157,34 +158,90 @@ def _sets(slices: DataFrame, reps: DataFrame, window: int) -> DataFrame:
                     continue
                 chosen = np.concatenate([data[ends[r]:ends[r + 1]] for r in mine])
                 new_ends = np.concatenate([[0], np.cumsum(ends[mine + 1] - ends[mine])])
-                uids.extend((name * ROWS + first + mine).tolist())
+                uids.append(name * ROWS + first + mine)
                 out.extend(window_sets(chosen, new_ends, window))
+        if not out:
+            return pa.table({"slice": pa.nulls(0, pa.int64()), **{n: pa.nulls(0, pa.binary()) for n in ("uids", "sizes", "tokens")}})
         return pa.table({
-            "uid": pa.array(uids, pa.int64()), "n": pa.array([len(s) for s in out], pa.int64()), "tokens": pa.array([s.tobytes() for s in out], pa.binary()),
+            "slice": pa.array([name], pa.int64()), "uids": pa.array([np.concatenate(uids).astype("<i8").tobytes()], pa.binary()),
+            "sizes": pa.array([np.array([len(s) for s in out], "<i8").tobytes()], pa.binary()),
+            "tokens": pa.array([np.concatenate(out).tobytes()], pa.binary()),
         })
 
     wanted = reps.select("uid", F.floor(F.col("uid") / ROWS).alias("slice"))
-    return slices.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(run, "uid long, n long, tokens binary")
+    return slices.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(run, "slice long, uids binary, sizes binary, tokens binary")
 
 
-def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
-    """a, b: every vertex and the smallest vertex that shares one of its prefix tokens."""
+def _single_sets(sets: DataFrame) -> DataFrame:
+    """uid, tokens: one row for each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uids, sizes, tokens in zip(*(arrays(batch.column(n), d) for n, d in (("uids", "<i8"), ("sizes", "<i8"), ("tokens", "<u8")))):
+                yield pa.RecordBatch.from_arrays([pa.array(uids), packed(tokens, np.concatenate([[0], np.cumsum(sizes)]))], ["uid", "tokens"])
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return sets.mapInArrow(run, "uid long, tokens binary")
+
+
+def _frequencies(sets: DataFrame, buckets: int) -> DataFrame:
+    """slice, bucket, counts: in how many of the sets each distinct token of a slice occurs."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            # sets are sorted by their random names: a prefix is any window order that all sets share
-            prefixes = [s[: len(s) // 5 + 1] for s in arrays(batch.column("tokens"), "<u8")]
-            tokens = np.concatenate(prefixes)
-            uids = np.repeat(batch.column("uid").to_numpy(), [len(p) for p in prefixes])
+            for name, tokens in zip(batch.column("slice").to_pylist(), arrays(batch.column("tokens"), "<u8")):
+                tokens, counts = np.unique(tokens, return_counts=True)
+                order, ends = split(tokens, (W.mix(tokens) % np.uint64(buckets)).astype(np.int32), buckets)
+                tokens, counts = tokens[order], counts[order].astype("<u4")
+                full = np.flatnonzero(np.diff(ends))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(full, pa.int32()), pa.array([name] * len(full), pa.int64()),
+                    pa.array([tokens[ends[b]:ends[b + 1]].tobytes() for b in full], pa.binary()),
+                    pa.array([counts[ends[b]:ends[b + 1]].tobytes() for b in full], pa.binary()),
+                ], ["bucket", "slice", "tokens", "counts"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        tokens = arrays(table["tokens"], "<u8")
+        names, index = np.unique(np.concatenate(tokens), return_inverse=True)
+        counts = np.concatenate(arrays(table["counts"], "<u4"))
+        totals = np.minimum(np.bincount(index, weights=counts, minlength=len(names)), 2**32 - 1).astype("<u4")
+        ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+        return pa.table({
+            "slice": table["slice"], "bucket": table["bucket"],
+            "counts": pa.array([totals[index[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+        })
+
+    asked = sets.mapInArrow(ask, "bucket int, slice long, tokens binary, counts binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "slice long, bucket int, counts binary")
+
+
+def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
+    """a, b: every vertex and the smallest vertex that shares one of its prefix tokens.
+
+    A prefix holds the rarest tokens of a set, as many as a partner may miss and one more; tokens of one set only are not sent.
+    """
+
+    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        out = {"bucket": [], "tokens": [], "uids": []}
+        if len(rows) and len(answers):
+            uids, sizes, tokens = (arrays(rows[n], d)[0] for n, d in (("uids", "<i8"), ("sizes", "<i8"), ("tokens", "<u8")))
+            names = np.unique(tokens)
+            order, ends = split(names, (W.mix(names) % np.uint64(buckets)).astype(np.int32), buckets)
+            totals = np.zeros(len(names), np.uint32)
+            for bucket, counts in zip(answers["bucket"].to_pylist(), arrays(answers["counts"], "<u4")):
+                totals[order[ends[bucket]:ends[bucket + 1]]] = counts
+            counts = totals[np.searchsorted(names, tokens)]
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((tokens, counts, of))
+            rank = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            sent = order[(rank <= sizes[of] // 5) & (counts[order] > 1)]
+            tokens, uids = tokens[sent], uids[of[sent]]
             order, ends = split(tokens, (W.mix(tokens) % np.uint64(buckets)).astype(np.int32), buckets)
             tokens, uids = tokens[order], uids[order]
-            full = np.flatnonzero(np.diff(ends))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(full, pa.int32()), pa.array([tokens[ends[b]:ends[b + 1]].tobytes() for b in full], pa.binary()),
-                pa.array([uids[ends[b]:ends[b + 1]].tobytes() for b in full], pa.binary()),
-            ], ["bucket", "tokens", "uids"])
+            for bucket in np.flatnonzero(np.diff(ends)):
+                out["bucket"].append(int(bucket))
+                out["tokens"].append(tokens[ends[bucket]:ends[bucket + 1]].tobytes())
+                out["uids"].append(uids[ends[bucket]:ends[bucket + 1]].tobytes())
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "tokens": pa.array(out["tokens"], pa.binary()), "uids": pa.array(out["uids"], pa.binary())})
 
     def meet(table: pa.Table) -> pa.Table:
         tokens, uids = np.concatenate(arrays(table["tokens"], "<u8")), np.concatenate(arrays(table["uids"], "<i8"))
@@ -195,7 +252,8 @@ def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
         edges = np.unique(np.stack([uids, least])[:, uids != least], axis=1)
         return pa.table({"a": edges[0], "b": edges[1]})
 
-    sent = sets.mapInArrow(send, "bucket int, tokens binary, uids binary")
+    answers = _frequencies(sets, buckets)
+    sent = sets.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(send, "bucket int, tokens binary, uids binary")
     return sent.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
@@ -352,7 +410,7 @@ def _joined(slices: DataFrame, window: int) -> DataFrame:
         "root", F.pmod(F.xxhash64("root"), F.lit(homes)).alias("home"),
         F.when(F.col("windows") <= GROUP_WINDOWS, 1).otherwise(F.ceil(F.col("windows") * 2 / GROUP_WINDOWS)).alias("blocks"),
     )
-    tasks = _grouped(sets.select("uid", "tokens"), groups, roots)
+    tasks = _grouped(_single_sets(sets), groups, roots)
     links = tasks.groupBy("home", "left", "right").applyInArrow(_links, "a long, b long")
     joined = components(links)
     found = vertices.join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
