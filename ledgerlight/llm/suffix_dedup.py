@@ -122,7 +122,7 @@ def _classes(table: pa.Table) -> pa.Table:
     rows, of = rows[order], of[order]
     order = np.lexsort((rows["start"], rows["key"], rows["name"], rows["anchor"]))
     rows, of = rows[order], of[order]
-    spans, fetch = np.zeros(0, bool), np.zeros(0, bool)
+    spans = fetch = np.zeros(0, bool)
     if len(rows):
         new_anchor = np.concatenate([[True], rows["anchor"][1:] != rows["anchor"][:-1]])
         new_class = new_anchor | np.concatenate([[True], rows["name"][1:] != rows["name"][:-1]])
@@ -132,8 +132,11 @@ def _classes(table: pa.Table) -> pa.Table:
         fetch = new_class & (np.bincount(of_anchor, weights=new_class)[of_anchor] > 1)
     bucket = table["bucket"][0].as_py()
     out = {"slice": [], "spans": [], "fetch": []}
-    for i, name in enumerate(names):
-        covered, needed = rows[spans & (of == i)], rows[fetch & (of == i)]
+    by_slice = np.argsort(of, kind="stable")
+    rows, spans, fetch = rows[by_slice], spans[by_slice], fetch[by_slice]
+    borders = np.searchsorted(of[by_slice], np.arange(len(names) + 1))
+    for name, begin, end in zip(names, borders[:-1], borders[1:]):
+        covered, needed = rows[begin:end][spans[begin:end]], rows[begin:end][fetch[begin:end]]
         if len(covered) == 0 and len(needed) == 0:
             continue
         wanted = np.zeros(len(needed), FETCH)
@@ -232,8 +235,10 @@ def interval_tree(array: SuffixArray, place: np.ndarray, size: int) -> tuple[np.
         return shared, groups
     edge = np.diff(np.concatenate([[0], deep.astype(np.int8), [0]]))
     lows, highs = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    least = np.array([array.left[a:b + 1].min() for a, b in zip(lows, highs)])
-    most = np.array([array.left[a:b + 1].max() for a, b in zip(lows, highs)])
+    # runs don't overlap: every other piece between their borders is a run
+    borders = np.stack([lows, highs + 1], axis=1).ravel()
+    padded = np.append(array.left, array.left[-1:])
+    least, most = np.minimum.reduceat(padded, borders)[::2], np.maximum.reduceat(padded, borders)[::2]
     wanted = (least != most) | (least == 0)
     lcp, left = array.lcp, array.left
     for begin, end in zip(lows[wanted].tolist(), highs[wanted].tolist()):
@@ -394,13 +399,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     def cut(texts: pa.Table, covered: pa.Table) -> pa.Table:
         part = Slice.unpack(texts["packed"][0].as_buffer())
         ends, data = part.ends, part.data
-        change = np.zeros(len(data) + 1, np.int32)
-        for packed in covered["spans"]:
-            found = rows_of(packed.as_buffer(), SPAN)
-            begin = ends[found["row"]] + found["start"]
-            change += np.bincount(begin, minlength=len(change)).astype(np.int32)
-            change -= np.bincount(begin + found["length"], minlength=len(change)).astype(np.int32)
-        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        found = np.concatenate([np.zeros(0, SPAN), *(rows_of(packed.as_buffer(), SPAN) for packed in covered["spans"])])
+        begin = ends[found["row"]] + found["start"]
+        change = np.bincount(begin, minlength=len(data) + 1) - np.bincount(begin + found["length"], minlength=len(data) + 1)
+        gone = np.cumsum(change[:-1]) > 0
         removed = np.diff(np.searchsorted(np.flatnonzero(gone), ends))
         begins, stops, first = W.runs(gone.view(np.uint8), ends, np.array([True] + [False] * 255))
         row = np.repeat(np.arange(len(part.keys)), np.diff(first))
