@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlight.operators import gold as G
 from ledgerlight.plans import layers as L
-from ledgerlight.sources.readers import spread
 
 FACTS = """
 SELECT cik, company_name, period_end, fiscal_year, fiscal_period, form_type, filed_date, field,
@@ -70,7 +69,9 @@ FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
   concat('"us-gaap": {{',
     CASE WHEN l_linenumber = 1 THEN '' ELSE concat('"Assets": {{"units": {{"USD": [{{"end": "', day, '", "val": ', qty, ', "fp": "Q1", "form": "10-Q", "filed": "', day, '"}}, {{"end": "',
       CASE WHEN l_linenumber = 3 THEN 'bad-date' ELSE day END, '", "val": ', price, ', "fp": "Q2", "form": "10-K/A"}}], "EUR": [{{"end": "', day, '", "val": 1, "form": "10-K"}}]}}}}, ') END,
-    '"SalesRevenueNet": {{"label": "Net sales", "units": {{"USD": [{{"end": "', day, '", "val": ', CASE WHEN l_partkey % 13 = 0 THEN 'null' ELSE qty END,
+    '"SalesRevenueNet": {{"label": "Net sales", "units": {{"USD": [{{"end": "', day, '", "val": ', CASE WHEN l_partkey % 13 = 0 THEN 'null'
+      WHEN l_partkey % 23 = 0 THEN '"abc"' WHEN l_partkey % 29 = 0 THEN 'true' WHEN l_partkey % 31 = 0 THEN '"1d"'
+      WHEN l_partkey % 37 = 0 THEN concat('"', qty, '"') ELSE qty END,
     ', "fp": "FY", "form": "10-K", "filed": "', day, '"}}]}}}}, ',
     '"InterestExpense": {{"units": {{"EUR": [{{"end": "', day, '", "val": 5, "form": "10-K"}}]}}}}}}') AS gaap
  FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
@@ -108,8 +109,13 @@ CASES = """
 SELECT c_name AS NameCorp,
   CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE concat(CAST(c_custkey % 400 AS STRING), '.0') END AS CikBefore,
   CASE WHEN c_custkey % 5 = 0 THEN '7' ELSE '11' END AS Chapter,
-  CASE WHEN c_custkey % 17 = 0 THEN 'unknown' ELSE concat(CAST(c_custkey % 12 + 1 AS STRING), '/',
-    CAST(c_custkey % 28 + 1 AS STRING), '/', CAST(2000 + c_custkey % 22 AS STRING)) END AS DateFiled,
+  CASE WHEN c_custkey % 17 = 0 THEN 'unknown'
+    WHEN c_custkey % 13 = 0 THEN concat(CAST(c_custkey % 12 + 1 AS STRING), '/', CAST(c_custkey % 28 + 1 AS STRING), '/', CAST(10 + c_custkey % 12 AS STRING))
+    WHEN c_custkey % 11 = 0 THEN concat(CAST(2000 + c_custkey % 22 AS STRING), '-0', CAST(c_custkey % 9 + 1 AS STRING), '-1', CAST(c_custkey % 10 AS STRING), ' 00:00:00')
+    WHEN c_custkey % 10 = 0 THEN concat('Mar ', CAST(c_custkey % 28 + 1 AS STRING), ', ', CAST(2000 + c_custkey % 22 AS STRING))
+    WHEN c_custkey % 7 = 0 THEN concat(CAST(c_custkey % 12 + 1 AS STRING), '-', CAST(c_custkey % 28 + 1 AS STRING), '-', CAST(2000 + c_custkey % 22 AS STRING))
+    ELSE concat(CAST(c_custkey % 12 + 1 AS STRING), '/', CAST(c_custkey % 28 + 1 AS STRING), '/', CAST(2000 + c_custkey % 22 AS STRING),
+      CASE WHEN c_custkey % 6 = 0 THEN ' 00:00' ELSE '' END) END AS DateFiled,
   CAST(2000 + c_custkey % 22 AS STRING) AS YearFiled,
   CASE WHEN c_custkey % 19 = 0 THEN 'NA' ELSE CAST((c_custkey * 37) % 3000 AS STRING) END AS AssetsBefore,
   concat(CAST((c_custkey * 11) % 900 AS STRING), '.25') AS SalesBefore,
@@ -233,10 +239,10 @@ INPUTS = {
 }
 
 
-# unique keys of the tables that feed CPU-bound stages
-LARGE = {
-    "lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "documents": ["doc_id"], "pages": ["page_id"],
-}
+# A test file of one row group is one task. A session that wants its cores busy anyway (the bench) names a number of
+# partitions for these inputs; nothing chooses it by size or cores.
+PARTITIONS = "spark.ledgerlight.inputPartitions"
+LARGE = ("lineitem", "orders", "documents", "pages")
 
 
 def portable_sql(name: str) -> str:
@@ -254,7 +260,8 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return spread(scan, *LARGE[name]) if name in LARGE else scan
+        wanted = self.spark.conf.get(PARTITIONS, None)
+        return scan.repartition(int(wanted)) if wanted and name in LARGE else scan
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in INPUTS:

@@ -58,7 +58,8 @@ SELECT * FROM (
     ('Assets', 'gaap', CASE WHEN ln = 3 THEN 'bad-date' ELSE day END, price, 'Q2', '10-K/A', NULL),
     ('Assets', 'ifrs', day, price, 'FY', '20-F', day),
     ('Revenues', 'ifrs', day, price, NULL, order_form, 'not a date'),
-    ('SalesRevenueNet', 'gaap', day, CASE WHEN pk % 13 = 0 THEN NULL ELSE qty END, 'FY', '10-K', day)
+    ('SalesRevenueNet', 'gaap', day, CASE WHEN pk % 13 = 0 OR pk % 23 = 0 THEN NULL WHEN pk % 29 = 0 THEN 1.0
+      WHEN pk % 31 = 0 THEN NULL ELSE qty END, 'FY', '10-K', day)
   ) e(tag, ns, end_str, val, fp, form, filed_str)
   WHERE tag <> 'Assets' OR (ns = 'gaap') = (ln <> 1)) q
 """
@@ -283,7 +284,7 @@ def section_columns_sql(section: str) -> dict[str, str]:
     if section in K.DERIVED_RISK:
         found["risk_level"] = derived_sql(section)
     if section == "business":
-        found["key_vulnerability"] = f"substr({spoken_sql('key_vulnerability', 'none identified')}, 1, 300)"
+        found["key_vulnerability"] = spoken_sql("key_vulnerability", "none identified")
     return found
 
 
@@ -303,9 +304,9 @@ def response_columns_sql() -> str:
           WHEN {get('sentiment_label')} IN ({one_of(K.SENTIMENT_LABELS)}) THEN {get('sentiment_label')}
           WHEN score <= -0.2 THEN 'negative' WHEN score >= 0.2 THEN 'positive' ELSE 'neutral' END AS sentiment_label""",
         "CASE WHEN problem IS NULL THEN "
-        f"substr({spoken_sql('key_distress_signal', 'none detected')}, 1, 300) ELSE '' END AS key_distress_signal",
-        f"CASE WHEN problem IS NULL THEN substr({spoken_sql('summary', '')}, 1, 400) ELSE '' END AS llm_summary",
-        "CASE WHEN problem IS NULL THEN substr(raw, 1, 1000) ELSE problem END AS llm_raw",
+        f"{spoken_sql('key_distress_signal', 'none detected')} ELSE '' END AS key_distress_signal",
+        f"CASE WHEN problem IS NULL THEN {spoken_sql('summary', '')} ELSE '' END AS llm_summary",
+        "CASE WHEN problem IS NULL THEN raw ELSE problem END AS llm_raw",
     ]
     per_section = {s: section_columns_sql(s) for s in [*K.SECTIONS, "other"]}
     names = dict.fromkeys(name for columns in per_section.values() for name in columns)
@@ -390,7 +391,8 @@ def number_sql(name: str) -> str:
 
 
 def us_date_sql(name: str) -> str:
-    return f"coalesce(strftime(try_strptime(\"{name}\", '%m/%d/%Y'), '%Y-%m-%d'), '')"
+    formats = ["%m/%d/%y", "%m/%d/%Y", "%m/%d/%Y %H:%M", "%Y-%m-%d %H:%M:%S", "%b %d, %Y", "%m-%d-%Y"]
+    return f"coalesce(strftime(try_strptime(\"{name}\", [{one_of(formats)}]), '%Y-%m-%d'), '')"
 
 
 STEPS["cases_kept"] = """

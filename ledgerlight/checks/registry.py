@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +61,7 @@ PARTS = dict.fromkeys(K.COMPOSITE_WEIGHTS, 8)
 
 def _packed_facts(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "facts-documents")
-    t.blobs.select("raw").write.text(path)
+    t.blobs.select("raw").write.mode("overwrite").text(path)
     return FL.flatten_facts(RD.read_company_facts(t.spark, path, packed=True, pattern="*.txt"))
 
 
@@ -73,6 +74,30 @@ add(
         lpad(CAST(l_suppkey AS STRING), 10, '0'), '-', CAST(l_orderkey AS STRING), '.json') AS object_name
        FROM lineitem WHERE l_linenumber = 7 AND l_partkey % 5 = 0""",
 )
+add(
+    "src1_documents_with_bad_values",
+    lambda t: FL.documents_with_bad_values(t.blobs).select("object_name"),
+    """SELECT DISTINCT concat('edgar_company_facts/ingestion_date=2024-01-0', CAST(l_linenumber AS STRING), '/CIK',
+        lpad(CAST(l_suppkey AS STRING), 10, '0'), '-', CAST(l_orderkey AS STRING), '.json') AS object_name
+       FROM lineitem WHERE NOT (l_linenumber = 7 AND l_partkey % 5 = 0) AND l_partkey % 17 <> 0 AND l_partkey % 13 <> 0
+         AND (l_partkey % 23 = 0 OR (l_partkey % 31 = 0 AND l_partkey % 29 <> 0))""",
+)
+
+
+def _stored_section_texts(t: Inputs) -> DataFrame:
+    """Section texts as packed bytes, some of them broken, read back."""
+    path = scratch_path(t.spark, "sections")
+    broken = F.when(F.col("doc_id") % 7 == 0, F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF")))).otherwise(F.col("text").cast("binary"))
+    t.filing_text.select("object_name", broken.alias("content")).write.mode("overwrite").parquet(path)
+    return RD.read_filing_text(t.spark, path, packed=True)
+
+
+add(
+    "src2_read_filing_text",
+    lambda t: _stored_section_texts(t).select("cik", "accession", "section", "ingestion_date", "text"),
+    """SELECT cik, accession, section, ingestion_date, concat(text, CASE WHEN doc_id % 7 = 0 THEN chr(65533) ELSE '' END) AS text
+       FROM parsed_names""",
+)
 add(
     "src2_decode_text",
     lambda t: t.table("documents").select("doc_id", X.decode_text(F.col("text").cast("binary")).alias("text")),
@@ -126,7 +151,7 @@ add(
 
 def _stored_cases(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "cases")
-    t.cases.write.options(**WR.CSV_OPTIONS, encoding="ISO-8859-1").csv(path)
+    t.cases.write.mode("overwrite").options(**WR.CSV_OPTIONS, encoding="ISO-8859-1").csv(path)
     return RD.read_bankruptcy_cases(t.spark, path, drop_malformed=True)
 
 
@@ -223,16 +248,19 @@ add(
 
 
 def _landed_pages(t: Inputs) -> DataFrame:
-    """Land the pages, then land them again: the second time nothing is new."""
-    path = scratch_path(t.spark, "landed")
+    """Land the pages, each name twice with different content, then land them again: the second time nothing is new.
+
+    What is read are the rows that both calls return.
+    """
+    path = f"{scratch_path(t.spark, 'landed')}/{uuid.uuid4().hex}"
     objects = t.table("pages").select(
         F.col("url").alias("object_name"), F.col("html").alias("content"), F.col("url").alias("source_url"),
         F.lit(200).alias("http_status"),
     )
-    WR.land_with_lineage(objects, path)
+    again = objects.withColumn("content", F.concat("content", F.lit("\n<!-- again -->")))
+    first = WR.land_with_lineage(objects.unionByName(again), path)
     landed = t.spark.read.parquet(path).select("object_name")
-    WR.land_with_lineage(objects, path, landed)
-    stored = t.spark.read.parquet(path)
+    stored = first.unionByName(WR.land_with_lineage(objects, path, landed))
     meta = F.get_json_object("meta_json", "$.sha256").alias("meta_sha256")
     return stored.select("object_name", "sha256", F.col("size_bytes").cast("bigint"), meta)
 
@@ -240,8 +268,10 @@ def _landed_pages(t: Inputs) -> DataFrame:
 add(
     "snk6_land_with_lineage",
     _landed_pages,
-    "SELECT url AS object_name, sha256(html) AS sha256, CAST(octet_length(encode(html)) AS BIGINT) AS size_bytes, "
-    "sha256(html) AS meta_sha256 FROM pages",
+    """SELECT object_name, min(sha256) AS sha256, arg_min(size_bytes, sha256) AS size_bytes, min(sha256) AS meta_sha256
+       FROM (SELECT url AS object_name, sha256(body) AS sha256, CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes
+         FROM (SELECT url, html AS body FROM pages UNION ALL SELECT url, concat(html, chr(10), '<!-- again -->') FROM pages) b) q
+       GROUP BY object_name""",
 )
 
 # Landing of filing sections: page texts as filings, some without a filing, some that failed to download.
@@ -287,14 +317,18 @@ add(
     "SELECT status, count(*) AS n, coalesce(sum(bytes), 0) / 1048576.0 AS total_mb FROM land_outcomes GROUP BY status",
     {"total_mb": 8},
 )
-add("snk8_dry_run", lambda t: WR.dry_run(t.silver.select(*K.SILVER_COLUMNS), 5))
+add(
+    "snk8_dry_run",
+    lambda t: WR.dry_run(t.silver.select(*K.SILVER_COLUMNS), ["cik", "period_end"], 5),
+    f"SELECT {SILVER} FROM silver ORDER BY cik, period_end LIMIT 5",
+)
 
 # ------------------------------------------------------------------------------------- flattening facts
 
 add(
     "flt1_merge_namespaces",
     lambda t: FL.explode_facts(t.blobs).groupBy("tag").agg(
-        F.count("*").alias("n"), F.sum(F.col("val").try_cast("double")).alias("total")
+        F.count("*").alias("n"), F.sum(V.fact_number("val")).alias("total")
     ),
     "SELECT tag, count(*) AS n, sum(val) AS total FROM blob_entries GROUP BY tag",
     {"total": 2},
@@ -303,7 +337,7 @@ add(
     "flt2_explode_facts",
     lambda t: FL.explode_facts(t.blobs).select(
         "object_name", F.col("cik").cast("bigint").alias("cik"), "tag", "end_str",
-        F.col("val").try_cast("double").alias("val"), "fp", "form", "filed_str",
+        V.fact_number("val").alias("val"), "fp", "form", "filed_str",
     ),
     "SELECT object_name, cik, tag, end_str, val, fp, form, filed_str FROM blob_entries",
 )
@@ -502,6 +536,13 @@ def describe_sql(value: str, source: str) -> str:
 
 
 MOMENTS = dict.fromkeys(["mean_value", "std_value", "min_value", "max_value", "q1", "median_value", "q3"], 6)
+add(
+    "gld10_quartiles_of_facts",
+    lambda t: Q.exact_quantiles(t.facts.select("field", "value"), ["field"], "value", Q.QUARTILES, {"n": F.count("value")}, accuracy=100),
+    """SELECT field, count(value) AS n, quantile_cont(value, 0.25) AS q1, median(value) AS median_value, quantile_cont(value, 0.75) AS q3
+       FROM facts GROUP BY field""",
+    {"q1": 6, "median_value": 6, "q3": 6},
+)
 add(
     "gld10_describe",
     lambda t: Q.describe(t.gold, "altman_z_score"),
@@ -563,10 +604,10 @@ add(
 add(
     "txt6_only_new",
     lambda t: TX.only_new(
-        t.filings.select(F.col("accession").alias("object_name"), "form"),
+        t.filings.select(F.col("accession").alias("object_name")),
         t.filings.filter("form IN ('10-K', '10-Q')").select(F.col("accession").alias("object_name")),
     ),
-    """SELECT accession AS object_name, form FROM filings f
+    """SELECT DISTINCT accession AS object_name FROM filings f
        WHERE NOT EXISTS (SELECT 1 FROM filings g WHERE g.form IN ('10-K', '10-Q') AND g.accession = f.accession)""",
 )
 add(
@@ -630,15 +671,29 @@ add(
     f"SELECT {', '.join(ROW_CELLS)} FROM text_rows",
 )
 SHORT_TEMPLATES = {name: (f"<{name}>", "</>") for name in [*K.SECTIONS, "other"]}
-O.STEPS["prompts"] = """
-SELECT doc_id, section, concat(CASE WHEN section IN ('mda', 'risk', 'business') THEN concat('<', section, '>') ELSE '<other>' END,
-  translate(substr(text, 1, CASE WHEN section IN ('mda', 'risk', 'business') THEN 4000 ELSE 3000 END), '"', ''''), '</>') AS prompt
-FROM parsed_names
+CHUNK_CHARS = 4000
+O.STEPS["prompts"] = f"""
+SELECT doc_id, section, CAST(c AS INT) AS chunk,
+  concat(CASE WHEN section IN ('mda', 'risk', 'business') THEN concat('<', section, '>') ELSE '<other>' END,
+  translate(substr(text, c * {CHUNK_CHARS} + 1, {CHUNK_CHARS}), '"', ''''), '</>') AS prompt
+FROM parsed_names CROSS JOIN LATERAL (SELECT unnest(generate_series(0, greatest(length(text) - 1, 0) // {CHUNK_CHARS})) AS c)
 """
+
+
+def _prompts(t: Inputs) -> DataFrame:
+    return N.build_prompt(N.parse_object_name(t.filing_text), SHORT_TEMPLATES, chunk_chars=CHUNK_CHARS)
+
+
 add(
     "nlp4_build_prompt",
-    lambda t: N.build_prompt(N.parse_object_name(t.filing_text), SHORT_TEMPLATES).select("doc_id", "section", "prompt"),
-    "SELECT doc_id, section, prompt FROM prompts",
+    lambda t: _prompts(t).select("doc_id", "section", "chunk", "prompt"),
+    "SELECT doc_id, section, chunk, prompt FROM prompts",
+)
+add(
+    "nlp4_whole_texts",
+    lambda t: N.build_prompt(N.parse_object_name(t.filing_text), SHORT_TEMPLATES).select("doc_id", "prompt"),
+    """SELECT doc_id, concat(min(regexp_extract(prompt, '^<[a-z]+>')), string_agg(
+         regexp_replace(prompt, '^<[a-z]+>|</>$', '', 'g'), '' ORDER BY chunk), '</>') AS prompt FROM prompts GROUP BY doc_id""",
 )
 
 
@@ -680,15 +735,15 @@ def _scored(t: Inputs) -> DataFrame:
             raise ValueError("no answer")
         return f'{{"sentiment_score": {len(prompt) % 10 - 5}, "risk_level": "high"}}'
 
-    prompts = N.build_prompt(N.parse_object_name(t.filing_text), SHORT_TEMPLATES)
-    answered = N.score_documents(prompts.select("doc_id", "prompt"), length_scorer, parallelism=8)
-    return answered.select("doc_id", "response.raw", "response.error")
+    prompts = _prompts(t).select("doc_id", "chunk", "prompt")
+    answered = N.score_documents(prompts, N.one_by_one(length_scorer))
+    return answered.select("doc_id", "chunk", "response.raw", "response.error")
 
 
 add(
     "nlp14_score_documents",
     _scored,
-    """SELECT doc_id, CASE WHEN length(prompt) % 7 <> 0 THEN concat('{"sentiment_score": ', CAST(length(prompt) % 10 - 5 AS VARCHAR),
+    """SELECT doc_id, chunk, CASE WHEN length(prompt) % 7 <> 0 THEN concat('{"sentiment_score": ', CAST(length(prompt) % 10 - 5 AS VARCHAR),
            ', "risk_level": "high"}') END AS raw,
          CASE WHEN length(prompt) % 7 = 0 THEN 'no answer' END AS error
        FROM prompts""",
@@ -1171,7 +1226,7 @@ add(
 add("dsh24_top_composite_companies", lambda t: D.top_companies(t.composite, "composite_score"), "SELECT * FROM top_by_composite")
 add(
     "dsh25_contributions",
-    lambda t: D.contributions(t.composite, D.top_companies(t.composite, "composite_score"), digits=8),
+    lambda t: D.contributions(t.composite, D.top_companies(t.composite, "composite_score", 5), digits=8),
     """SELECT company_name, cik, period_end, round(0.60 * z_component, 8) AS z_contribution,
          round(0.20 * llm_component, 8) AS llm_contribution, round(0.20 * trend_component, 8) AS trend_contribution
        FROM composite WHERE company_name IN (SELECT company_name FROM top_by_composite

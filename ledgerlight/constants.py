@@ -181,7 +181,6 @@ SECTION_ENDS = {
     "business": [rf"item[{WS}]*1a", rf"item[{WS}]*2[.{WS}]"],
 }
 SECTION_HEADING_CHARS = 50  # an end heading is searched only past the start heading
-SECTION_MAX_BYTES = 200_000  # stored size of one section
 
 # --------------------------------------------------------------------------------------------------------
 # Fields of a scorer's response
@@ -236,12 +235,6 @@ DERIVED_RISK = {
 }
 SENTIMENT_NEGATIVE_UP_TO = -0.2
 SENTIMENT_POSITIVE_FROM = 0.2
-SIGNAL_CHARS = 300
-SUMMARY_CHARS = 400
-RAW_CHARS = 1000
-ERROR_CHARS = 200
-PROMPT_CHARS = {"mda": 4000, "risk": 4000, "business": 4000}
-PROMPT_CHARS_OTHER = 3000
 SKIPPED = "skipped"
 TEXT_KEY = ["cik", "accession", "section"]
 

@@ -107,10 +107,8 @@ def shared_fields(value: Column) -> dict[str, Column]:
     return {
         "sentiment_score": score,
         "sentiment_label": sentiment_label(value, score),
-        "key_distress_signal": F.substring(
-            spoken(value, "key_distress_signal", "none detected"), 1, K.SIGNAL_CHARS
-        ),
-        "llm_summary": F.substring(spoken(value, "summary", ""), 1, K.SUMMARY_CHARS),
+        "key_distress_signal": spoken(value, "key_distress_signal", "none detected"),
+        "llm_summary": spoken(value, "summary", ""),
     }
 
 
@@ -126,7 +124,5 @@ def section_fields(value: Column, section: str) -> dict[str, Column]:
     if section in K.DERIVED_RISK:
         fields["risk_level"] = derived_risk(value, section)
     if section == "business":
-        fields["key_vulnerability"] = F.substring(
-            spoken(value, "key_vulnerability", "none identified"), 1, K.SIGNAL_CHARS
-        )
+        fields["key_vulnerability"] = spoken(value, "key_vulnerability", "none identified")
     return fields

@@ -31,6 +31,12 @@ def to_float(c: Column | str) -> Column:
     return F.when(text.rlike(NUMERIC), text.try_cast("double"))
 
 
+def fact_number(c: Column | str) -> Column:
+    """The number of a fact: a JSON number, or a boolean as 1 and 0; null for anything else."""
+    text = _col(c)
+    return F.coalesce(to_float(text), F.when(text == "true", 1.0).when(text == "false", 0.0))
+
+
 def to_int(c: Column | str) -> Column:
     """A whole number, or null; ``2012.0`` is 2012."""
     return F.round(to_float(c)).try_cast("int")
@@ -47,9 +53,20 @@ def iso_date(c: Column | str) -> Column:
 
 
 def us_date(c: Column | str) -> Column:
-    """``YYYY-MM-DD`` text from ``M/D/YYYY`` or ISO text, else an empty string."""
-    text = strip(c)
-    parsed = F.coalesce(F.try_to_date(text, "M/d/yyyy"), F.try_to_date(text, "yyyy-MM-dd"))
+    """``YYYY-MM-DD`` text from a month-first, ISO or named-month date, with or without a time; else an empty string.
+
+    Years of two digits are 1970 to 2069.
+    """
+    text = F.regexp_replace(strip(c), r"[T ]+[0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?[AaPp][Mm])?$", "")
+    text = F.regexp_replace(text, r"^([0-9]{1,2})[-./]([0-9]{1,2})[-./]([0-9]{4}|[0-9]{2})$", r"$1/$2/$3")
+    short = F.regexp_replace(text, r"/([0-9]{2})$", r"/20$1")
+    century = F.when(F.regexp_extract(text, r"/([0-9]{2})$", 1).try_cast("int") >= 70, F.regexp_replace(text, r"/([0-9]{2})$", r"/19$1"))
+    named = F.initcap(F.regexp_replace(F.regexp_replace(text, r"[.,]", " "), r"\s+", " "))
+    parsed = F.coalesce(
+        F.try_to_date(F.coalesce(century, short), "M/d/yyyy"), F.try_to_date(text, "yyyy-M-d"), F.try_to_date(text, "yyyy/M/d"),
+        F.try_to_date(named, "MMM d yyyy"), F.try_to_date(named, "MMMM d yyyy"), F.try_to_date(named, "d MMM yyyy"),
+        F.try_to_date(named, "d MMMM yyyy"),
+    )
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), F.lit(""))
 
 

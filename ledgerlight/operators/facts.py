@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight import constants as K
-from ledgerlight.functions.values import _col, iso_date
+from ledgerlight.functions.values import _col, fact_number, iso_date
 
 CORRUPT = "_corrupt_record"
 # Scalars are read as text: a number of an unexpected type must not make the parser drop the document.
@@ -45,6 +45,14 @@ def rejected_documents(blobs: DataFrame, raw: str = "raw") -> DataFrame:
     return parsed.filter(F.col(f"_doc.{CORRUPT}").isNotNull()).drop("_doc")
 
 
+def documents_with_bad_values(blobs: DataFrame, raw: str = "raw") -> DataFrame:
+    """Documents with a value that is neither a number nor a boolean; flattening skips these values, and the documents are
+    listed so that somebody can look at them."""
+    keep = [c for c in blobs.columns if c != raw]
+    entries = explode_facts(blobs, raw)
+    return entries.filter(F.col("val").isNotNull() & fact_number("val").isNull()).select(*keep).distinct()
+
+
 def has_form(form: Column | str, prefixes: tuple[str, ...] = K.FORM_PREFIXES) -> Column:
     """The form starts with one of the prefixes, so amendments such as ``10-K/A`` count."""
     return reduce(Column.__or__, [_col(form).startswith(prefix) for prefix in prefixes])
@@ -78,7 +86,7 @@ def explode_facts(blobs: DataFrame, raw: str = "raw") -> DataFrame:
 
 def usable(entry: Column) -> Column:
     """An entry counts when its form is relevant, its end is a date and it has a value."""
-    return has_form(entry["form"]) & iso_date(entry["end"]).isNotNull() & entry["val"].isNotNull()
+    return has_form(entry["form"]) & iso_date(entry["end"]).isNotNull() & fact_number(entry["val"]).isNotNull()
 
 
 def flatten_facts(
@@ -156,7 +164,7 @@ def coerce_fact_row(df: DataFrame) -> DataFrame:
         F.col("form").alias("form_type"),
         iso_date("filed").alias("filed_date"),
         "field",
-        F.col("val").try_cast("double").alias("value"),
+        fact_number("val").alias("value"),
     ).filter(F.col("period_end").isNotNull() & F.col("value").isNotNull())
 
 

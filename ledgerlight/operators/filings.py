@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight import constants as K
@@ -69,46 +69,62 @@ def document_text(documents: DataFrame, body: str = "body", is_html: str = "is_h
     )
 
 
-def sections_of(documents: DataFrame, max_bytes: int | None = None, text: str = "text") -> DataFrame:
-    """One row per document and known section; ``section_text`` is null where the section is not found."""
-    found = F.array(*[
-        F.struct(F.lit(name).alias("section"), extract_section(text, name, max_bytes).alias("section_text"))
-        for name in K.SECTIONS
-    ])
+def sections_of(
+    documents: DataFrame, max_bytes: int | None = None, text: str = "text", skip: Column | None = None
+) -> DataFrame:
+    """One row per document and known section; ``section_text`` is null where the section is not found, or where it is
+    among the names in ``skip``."""
+
+    def body(name: str) -> Column:
+        found = extract_section(text, name, max_bytes)
+        return found if skip is None else F.when(~F.array_contains(skip, name), found)
+
+    found = F.array(*[F.struct(F.lit(name).alias("section"), body(name).alias("section_text")) for name in K.SECTIONS])
     return documents.select(*[c for c in documents.columns if c != text], F.inline(found))
 
 
 def only_new(candidates: DataFrame, landed: DataFrame, key: str = "object_name") -> DataFrame:
-    """Candidates whose key is not landed yet."""
-    return candidates.join(landed.select(key), key, "left_anti")
+    """The keys among the candidates that are not landed yet, each once; contents are no part of this choice."""
+    return candidates.select(key).distinct().join(landed.select(key), key, "left_anti")
+
+
+def landed_sections(documents: DataFrame, landed: DataFrame, date: str) -> DataFrame:
+    """cik, accession and the known sections of it that are landed already. Names alone are compared."""
+    keys = documents.select("cik", "accession").where("accession IS NOT NULL").distinct()
+    named = keys.withColumn("section", F.explode(F.array(*map(F.lit, K.SECTIONS))))
+    named = named.withColumn("object_name", object_key("cik", "accession", "section", F.lit(date)))
+    seen = named.join(landed.select("object_name"), "object_name", "left_semi")
+    return seen.groupBy("cik", "accession").agg(F.collect_set("section").alias("_landed_sections"))
 
 
 def land_sections(
     documents: DataFrame,
     landed: DataFrame,
     date: str,
-    max_bytes: int | None = K.SECTION_MAX_BYTES,
+    max_bytes: int | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
     """What happens to each section of each downloaded filing, and the text to store where it is new.
 
     ``documents`` has cik, accession and text, null where there is no filing (null accession) or the
-    download failed (null text). ``landed`` has the object names stored before. A dry run looks at no stored
-    object and sizes sections in characters, as nothing is encoded.
+    download failed (null text). ``landed`` has the object names stored before; they are matched with names, and
+    sections that are landed are not cut out. A dry run looks at no stored object and sizes sections in
+    characters, as nothing is encoded.
     """
     readable = documents.withColumn("_readable", F.coalesce(F.length("text") > 0, F.lit(False)))
-    located = sections_of(readable, max_bytes)
-    keyed = located.withColumn(
-        "object_name", object_key("cik", "accession", "section", F.lit(date))
-    )
+    none = F.array().cast("array<string>")
     if dry_run:
-        known = keyed.withColumn("_landed", F.lit(False))
+        known = readable.withColumn("_landed_sections", none)
     else:
-        seen = landed.select("object_name").distinct().withColumn("_seen", F.lit(True))
-        known = keyed.join(seen, "object_name", "left").withColumn(
-            "_landed", F.coalesce("_seen", F.lit(False))
-        )
-    return ingest_status(known, dry_run)
+        seen = landed_sections(documents, landed, date)
+        known = readable.join(seen, ["cik", "accession"], "left")
+        known = known.withColumn("_landed_sections", F.coalesce("_landed_sections", none))
+    located = sections_of(known, max_bytes, skip=F.col("_landed_sections"))
+    keyed = located.withColumns({
+        "object_name": object_key("cik", "accession", "section", F.lit(date)),
+        "_landed": F.array_contains("_landed_sections", F.col("section")),
+    })
+    return ingest_status(keyed, dry_run)
 
 
 def ingest_status(sections: DataFrame, dry_run: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 `median` and `percentile` keep every distinct value of a group in one buffer of one task. Report groups
 ("all scored rows of healthy companies") grow with the data, so here the work per task is bounded instead:
 
+0. the input is computed once and kept in the shared checkpoint folder; everything below reads that;
 1. one pass over the values takes the count, the extremes and, per wanted quantile, two sketch quantiles
    that enclose it (`percentile_approx` guarantees its rank error, so the enclosure is certain);
 2. a second pass counts the values below each enclosure and groups the values inside it by value, both
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.session import checkpointed
+
 ACCURACY = 10_000
 QUARTILES = {"q1": 0.25, "median_value": 0.5, "q3": 0.75}
 
@@ -27,14 +30,15 @@ def exact_quantiles(
     quantiles: dict[str, float],
     others: dict[str, Column] | None = None,
     accuracy: int = ACCURACY,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per group with one column per named quantile, linearly interpolated; nulls are skipped.
 
-    ``others`` are further aggregates, taken in the first pass. ``groups`` are report keys (labels, sections,
-    calendar dates): the enclosures, one row per group, are broadcast to the second pass, so the number of
-    groups has to be bounded by the report, not by the data.
+    ``others`` are further aggregates, taken in the first pass. Callers pass the columns that are needed and no
+    others, as they are written once; ``stored`` says that ``df`` is stored already.
     """
     others = others or {}
+    df = df if stored else checkpointed(df)
     margin = 10.0 / accuracy  # ten times the rank error of the sketch
     fractions = [q for p in quantiles.values() for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
     number = F.col(value).cast("double")
@@ -97,7 +101,7 @@ def _attach(left: DataFrame, report: DataFrame, groups: list[str], how: str) ->
     """Join a report of one row per group; null is a group like any other."""
     right = report.withColumnsRenamed({g: f"_g_{g}" for g in groups})
     on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    return left.join(F.broadcast(right), on, how).drop(*right.columns[: len(groups)])
+    return left.join(right, on, how).drop(*right.columns[: len(groups)])
 
 
 def exact_median(df: DataFrame, groups: list[str], value: str, alias: str, **others: Column) -> DataFrame:
@@ -107,12 +111,14 @@ def exact_median(df: DataFrame, groups: list[str], value: str, alias: str, **oth
 
 def five_numbers(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Count, minimum, quartiles and maximum per group that has values."""
+    df = df.select(*groups, value)
     ends = {"n": F.count(value), "min_value": F.min(value), "max_value": F.max(value)}
     return exact_quantiles(df, groups, value, QUARTILES, ends).filter(F.col("n") > 0)
 
 
 def describe(df: DataFrame, value: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of one column over the whole table, nulls skipped."""
+    df = df.select(value)
     moments = {
         "n": F.count(value), "mean_value": F.avg(value), "std_value": F.stddev_samp(value),
         "min_value": F.min(value), "max_value": F.max(value),

@@ -69,22 +69,30 @@ def default_template(section: str) -> tuple[str, str]:
 
 
 def build_prompt(
-    df: DataFrame, templates: dict[str, tuple[str, str]] | None = None, text: str = "text"
+    df: DataFrame,
+    templates: dict[str, tuple[str, str]] | None = None,
+    text: str = "text",
+    chunk_chars: int | None = None,
 ) -> DataFrame:
-    """Adds ``prompt``: an excerpt of the text inside its section's template.
+    """Adds ``prompt``: the text inside its section's template.
 
-    ``templates`` maps a section, or ``other``, to the text before and after the excerpt. Double quotes of
-    the excerpt become single ones so that they cannot close it.
+    ``templates`` maps a section, or ``other``, to the text before and after. Double quotes of the text become
+    single ones so that they cannot close it. With ``chunk_chars`` a text gives one row for each consecutive
+    piece of so many characters, numbered in ``chunk``; no character is lost, and an empty text gives one row.
     """
+    if chunk_chars:
+        pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{chunk_chars}}}"), F.lit(0))
+        df = df.select("*", F.posexplode_outer(pieces).alias("chunk", "_piece"))
+        df = df.withColumns({"chunk": F.coalesce("chunk", F.lit(0)), "_piece": F.coalesce("_piece", F.lit(""))})
     chosen = {name: default_template(name) for name in [*K.SECTIONS, "other"]} | (templates or {})
 
     def wrapped(section: str) -> Column:
         before, after = chosen[section]
-        excerpt = F.substring(text, 1, K.PROMPT_CHARS.get(section, K.PROMPT_CHARS_OTHER))
-        return F.concat(F.lit(before), F.translate(excerpt, '"', "'"), F.lit(after))
+        piece = F.col("_piece" if chunk_chars else text)
+        return F.concat(F.lit(before), F.translate(piece, '"', "'"), F.lit(after))
 
     rules = [(F.col("section") == name, wrapped(name)) for name in K.SECTIONS]
-    return df.withColumn("prompt", first_match(wrapped("other"), rules))
+    return df.withColumn("prompt", first_match(wrapped("other"), rules)).drop("_piece")
 
 
 # --------------------------------------------------------------------------------------------------------
@@ -143,9 +151,7 @@ def response_fields(df: DataFrame, raw: str = "raw", error: str | None = None) -
         typed_null = F.lit(None).cast("int" if any(name in f for f in K.RESPONSE_FLAGS.values()) else "string")
         found = F.when(good, first_match(typed_null, rules))
         columns[name] = found.otherwise("medium") if name == "risk_level" else found
-    columns["llm_raw"] = F.when(good, F.substring(raw, 1, K.RAW_CHARS)).otherwise(
-        F.substring("_problem", 1, K.ERROR_CHARS)
-    )
+    columns["llm_raw"] = F.when(good, F.col(raw)).otherwise(F.col("_problem"))
     return judged.withColumns(columns).drop("_v", "_problem")
 
 
@@ -164,36 +170,51 @@ def skipped_fields(df: DataFrame) -> DataFrame:
     return df.withColumns(columns)
 
 
+Scorer = Callable[[list[str]], list[str]]
+
+
+def one_by_one(answer: Callable[[str], str]) -> Callable[[], Scorer]:
+    """A factory for a scorer that answers one prompt at a time."""
+    return lambda: lambda prompts: [answer(prompt) for prompt in prompts]
+
+
 def score_documents(
-    df: DataFrame, scorer: Callable[[str], str], prompt: str = "prompt", parallelism: int | None = None
+    df: DataFrame, make_scorer: Callable[[], Scorer], prompt: str = "prompt", batch_size: int = 32
 ) -> DataFrame:
-    """Adds ``response`` (raw, error) by calling ``scorer`` on each prompt, in Arrow batches on the executors.
+    """Adds ``response`` (raw, error): answers to the prompts, asked for in batches on the executors.
 
-    Only the prompt crosses to Python; all other columns stay in the JVM. One failing call marks its own row
-    and nothing else. ``parallelism`` spreads the rows over that many tasks first, for scorers so slow that
-    the partitioning of the scan would leave executors idle.
+    ``make_scorer`` is called once per task, so a model is loaded, or a client opened, once and never shipped;
+    what it returns takes a list of prompts (and holds its system message, if it has one). When a batch fails,
+    its prompts are asked one by one, so that a failing prompt marks its own row and nothing else. Only the
+    prompt crosses to Python, and rows stay in their partitions.
     """
 
-    longest = K.ERROR_CHARS  # a plain value, so that executors need not have this package
-
     @F.pandas_udf(RESPONSE_TYPE)
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        def one(text: str) -> tuple[str | None, str | None]:
+        scorer = make_scorer()
+
+        def ask(prompts: list[str]) -> list[tuple[str | None, str | None]]:
             try:
-                return scorer(text), None
-            except Exception as problem:  # noqa: BLE001 - any scorer failure belongs to its row
-                return None, str(problem)[:longest]
+                answers = list(scorer(prompts))
+                if len(answers) != len(prompts):
+                    raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
+                return [(answer, None) for answer in answers]
+            except Exception as problem:  # noqa: BLE001 - any scorer failure belongs to its rows
+                if len(prompts) == 1:
+                    return [(None, str(problem))]
+                return [ask([one])[0] for one in prompts]
 
         for batch in batches:
-            yield pd.DataFrame([one(text) for text in batch], columns=["raw", "error"], dtype=object)
+            prompts = batch.tolist()
+            pieces = [ask(prompts[i:i + batch_size]) for i in range(0, len(prompts), batch_size)]
+            yield pd.DataFrame([row for piece in pieces for row in piece], columns=["raw", "error"], dtype=object)
 
-    spread = df.repartition(parallelism) if parallelism else df
     # marked nondeterministic so that the optimizer never duplicates the call
-    return spread.withColumn("response", call.asNondeterministic()(F.col(prompt)))
+    return df.withColumn("response", call.asNondeterministic()(F.col(prompt)))
 
 
-def scored_features(df: DataFrame, scorer: Callable[[str], str], parallelism: int | None = None) -> DataFrame:
-    answered = score_documents(build_prompt(df), scorer, parallelism=parallelism)
+def scored_features(df: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
+    answered = score_documents(build_prompt(df), make_scorer)
     split = answered.select("*", "response.*").drop("response", "prompt")
     return response_fields(split, "raw", "error").drop("raw", "error")
 
@@ -210,11 +231,21 @@ def done_keys(features: DataFrame, redo_skipped: bool = False) -> DataFrame:
 
 
 def resume_filter(todo: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:
-    """Documents not processed yet, optionally the first ``limit`` in object order."""
-    left = todo.join(done.select(*K.TEXT_KEY), K.TEXT_KEY, "left_anti")
+    """Keys of documents not processed yet, optionally the first ``limit`` in object order.
+
+    ``todo`` is a listing (object_name and its parts). A text column in it is left out: contents are read after
+    the choice, with `open_documents`.
+    """
+    names = todo.drop("text", "content")
+    left = names.join(done.select(*K.TEXT_KEY), K.TEXT_KEY, "left_anti")
     return left.orderBy("object_name").limit(limit) if limit else left
 
 
+def open_documents(documents: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents of chosen names, each side's rows matched by object name."""
+    return documents.join(chosen.select("object_name"), "object_name", "left_semi")
+
+
 def upsert_latest(old: DataFrame, new: DataFrame) -> DataFrame:
     """Union by name in which the new row of a key replaces the old one."""
     batches = [df.withColumn("_batch", F.lit(i)) for i, df in enumerate((old, new))]

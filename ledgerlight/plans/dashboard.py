@@ -71,6 +71,7 @@ def composite_histogram(composite: DataFrame) -> DataFrame:
 def median_over_time(df: DataFrame, value: str) -> DataFrame:
     """Median per period end and label."""
     scored = df.filter(F.col(value).isNotNull())
+    scored = scored.select("period_end", "distress_label", value)
     medians = exact_median(scored, ["period_end", "distress_label"], value, "median_value")
     return medians.select("period_end", group_name("distress_label").alias("company_type"), "median_value")
 
@@ -86,8 +87,7 @@ def of_companies(df: DataFrame, companies: DataFrame | list[str]) -> DataFrame:
     """Rows of selected companies, given as names or as the top few rows of `top_companies`."""
     if isinstance(companies, list):
         return df.filter(F.col("company_name").isin(companies))
-    # a limited selection: its size is the limit, so it can always be broadcast
-    return df.join(F.broadcast(companies.select("company_name")), "company_name", "left_semi")
+    return df.join(companies.select("company_name"), "company_name", "left_semi")
 
 
 def z_timeline(gold: DataFrame, companies: DataFrame | list[str]) -> DataFrame:
@@ -148,11 +148,17 @@ def risk_level_counts(text_features: DataFrame) -> DataFrame:
 
 
 def sentiment_against_z(text_features: DataFrame, gold: DataFrame) -> DataFrame:
-    """MD&A texts of companies that have a score, with the company's latest score."""
+    """MD&A texts of companies that have a score, with the company's latest score and latest name."""
+    scored = F.col("altman_z_score").isNotNull()
+    rows = gold.groupBy(F.col("cik").alias("_key")).agg(
+        F.max(F.when(scored, F.struct("period_end", "altman_z_score", "distress_zone"))).alias("score"),
+        F.max(F.struct("period_end", "company_name")).alias("name"),
+    )
+    known = rows.where("score IS NOT NULL").select(
+        "_key", F.coalesce("name.company_name", F.lit("Unknown")).alias("company_name"), "score.altman_z_score", "score.distress_zone"
+    )
     mda = text_features.filter(F.col("section") == "mda").withColumn("_key", cik_key("cik"))
-    latest = latest_scored(gold).select(F.col("cik").alias("_key"), "altman_z_score", "distress_zone")
-    named = named_texts(mda.join(latest, "_key").drop("_key"), gold)
-    return named.select(
+    return mda.join(known, "_key").select(
         "cik", "accession", "company_name", "sentiment_score", "risk_level", "going_concern",
         "altman_z_score", "distress_zone",
     )
@@ -197,16 +203,13 @@ def composite_scatter(composite: DataFrame) -> DataFrame:
     )
 
 
-def contributions(
-    composite: DataFrame, companies: DataFrame | list[str], max_companies: int = 5, digits: int = 4
-) -> DataFrame:
-    """Weighted parts of the score over time for a handful of companies."""
-    few = companies[:max_companies] if isinstance(companies, list) else companies.limit(max_companies)
+def contributions(composite: DataFrame, companies: DataFrame | list[str], digits: int = 4) -> DataFrame:
+    """Weighted parts of the score over time for the companies that the caller chose, all of them."""
     parts = [
         F.round(F.col(name) * weight, digits).alias(name.replace("component", "contribution"))
         for name, weight in K.COMPOSITE_WEIGHTS.items()
     ]
-    chosen = of_companies(composite, few).select("company_name", "cik", "period_end", *parts)
+    chosen = of_companies(composite, companies).select("company_name", "cik", "period_end", *parts)
     return chosen.orderBy("company_name", "period_end", "cik")
 
 

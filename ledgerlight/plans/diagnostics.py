@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlight import constants as K
 from ledgerlight.functions.values import group_name
-from ledgerlight.operators.quantiles import exact_median
+from ledgerlight.operators.quantiles import exact_median, exact_quantiles
+from ledgerlight.session import checkpointed
 
 
 def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -34,7 +35,7 @@ def zone_distribution(gold: DataFrame) -> DataFrame:
 
 def score_by_label(gold: DataFrame) -> DataFrame:
     report = exact_median(
-        gold, ["distress_label"], "altman_z_score", "median_z",
+        gold.select("distress_label", "altman_z_score"), ["distress_label"], "altman_z_score", "median_z",
         mean_z=F.avg("altman_z_score"), n_scores=F.count("altman_z_score"),
     )
     return report.withColumns({"mean_z": F.round("mean_z", 2), "median_z": F.round("median_z", 2)})
@@ -57,7 +58,8 @@ def recall(gold: DataFrame) -> DataFrame:
 
 def group_table(gold: DataFrame) -> DataFrame:
     """Counts and mean per label out of per-company counts, joined by label with the median."""
-    per_company = gold.groupBy("distress_label", "cik").agg(
+    rows = checkpointed(gold.select("distress_label", "cik", "altman_z_score"))
+    per_company = rows.groupBy("distress_label", "cik").agg(
         F.count("*").alias("periods"),
         F.count("altman_z_score").alias("scored"),
         F.sum("altman_z_score").alias("total_z"),
@@ -68,7 +70,7 @@ def group_table(gold: DataFrame) -> DataFrame:
         F.sum("scored").alias("periods_scored"),
         F.sum("total_z").alias("total_z"),
     )
-    medians = exact_median(gold, ["distress_label"], "altman_z_score", "median_z")
+    medians = exact_quantiles(rows, ["distress_label"], "altman_z_score", {"median_z": 0.5}, stored=True)
     mean = F.col("total_z") / F.nullif(F.col("periods_scored"), F.lit(0))
     return counts.join(medians, "distress_label").select(
         group_name("distress_label").alias("company_group"),
@@ -166,7 +168,9 @@ def _layer_freshness(spark: SparkSession, name: str, path: str, max_age_days: in
             spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.parquet").load(path).select("modificationTime")
         )
-    except AnalysisException:  # no such folder
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         files = spark.createDataFrame([], "modificationTime TIMESTAMP")
     seen = files.agg(F.count("*").alias("n_files"), F.max("modificationTime").alias("newest"))
     age = (F.unix_micros(F.current_timestamp()) - F.unix_micros("newest")) / F.lit(86_400_000_000.0)

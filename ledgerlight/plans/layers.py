@@ -37,19 +37,25 @@ def build_gold(silver_df: DataFrame, universe: DataFrame) -> DataFrame:
 def build_text_features(
     documents: DataFrame,
     done: DataFrame | None = None,
-    scorer: Callable[[str], str] | None = None,
+    make_scorer: Callable[[], N.Scorer] | None = None,
     limit: int | None = None,
-    parallelism: int | None = None,
     redo_skipped: bool = False,
 ) -> DataFrame:
-    """Features of the documents (object_name, text) that are not done yet; merge with `upsert_latest`."""
-    named = N.parse_object_name(documents)
-    if done is not None:
-        named = N.resume_filter(named, N.done_keys(done, redo_skipped), limit)
-    elif limit:
-        named = named.orderBy("object_name").limit(limit)
-    rows = N.keyword_features(N.document_rows(named))
-    scored = N.skipped_fields(rows) if scorer is None else N.scored_features(rows, scorer, parallelism)
+    """Features of the documents (object_name, text) that are not done yet; merge with `merge_text_features`.
+
+    What is open is decided on names alone. A caller that reads files passes only the open ones
+    (`readers.list_objects`, `text_features.resume_filter`, `readers.read_objects`), so that finished texts are
+    not even read; here ``done`` and ``limit`` reduce names first and fetch their texts last.
+    """
+    if done is not None or limit:
+        names = N.parse_object_name(documents.select("object_name"))
+        if done is not None:
+            names = N.resume_filter(names, N.done_keys(done, redo_skipped), limit)
+        else:
+            names = names.orderBy("object_name").limit(limit)
+        documents = N.open_documents(documents, names)
+    rows = N.keyword_features(N.document_rows(N.parse_object_name(documents)))
+    scored = N.skipped_fields(rows) if make_scorer is None else N.scored_features(rows, make_scorer)
     return scored.withColumn("processed_at", N.processed_now()).drop("text", "object_name")
 
 

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "ledgerlight", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,17 +27,21 @@ def get_session(app: str = "ledgerlight", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that driver and executors share: the one the cluster names for checkpoints,
+    else one below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate tables, inside the folder the cluster names for checkpoints.
+    """A folder for an intermediate table of one query; the next run of the query overwrites it."""
+    return f"{shared_folder(spark).rstrip('/')}/ledgerlight/{spark.sparkContext.applicationId}/{name}"
 
-    Only where the session names none (tests on one machine) a temporary folder is made and remembered in
-    the session.
-    """
-    key = "spark.checkpoint.dir"
-    root = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {key} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="ledgerlight-")
-        spark.conf.set(key, root)
-    return os.path.join(root, "ledgerlight", f"{name}-{uuid.uuid4().hex}")
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and kept in the shared folder, so that a lost executor costs no recomputation."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)

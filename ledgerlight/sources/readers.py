@@ -12,17 +12,6 @@ from ledgerlight.operators.filings import read_submission_rows
 from ledgerlight.operators.text_features import parse_object_name
 
 
-def spread(scan: DataFrame, *key: str) -> DataFrame:
-    """A scan with at least one partition per core.
-
-    A small table in one file is one task, which would run a CPU-bound stage on one core. A large table has
-    more partitions than that and is returned as it is. ``key`` is the table's unique key, so no value of it
-    can be hot.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *key)
-
-
 def read_documents(
     spark: SparkSession, path: str, prefix: str = "", packed: bool = False, pattern: str = "*.json"
 ) -> DataFrame:
@@ -52,30 +41,51 @@ def read_submissions(
     return read_submission_rows(read_documents(spark, path, prefix, packed, pattern))
 
 
-def read_filing_text(spark: SparkSession, path: str) -> DataFrame:
-    """Section texts with the parts of their object names; broken UTF-8 is replaced, never fatal."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.txt")
-        .load(path)
-    )
-    return parse_object_name(files.select(F.col("path").alias("object_name"), decode_text("content").alias("text")))
+def read_filing_text(
+    spark: SparkSession, path: str | list[str], packed: bool = False, pattern: str = "*.txt"
+) -> DataFrame:
+    """Section texts with the parts of their object names; broken UTF-8 is replaced, never fatal.
 
+    One section per file, or with ``packed`` Parquet files of (object_name, content bytes): at many millions of
+    sections the packed layout spares the file listing and gives tasks of even size.
+    """
+    if packed:
+        stored = spark.read.parquet(path)
+    else:
+        options = {"recursiveFileLookup": True, "pathGlobFilter": pattern}
+        stored = spark.read.format("binaryFile").options(**options).load(path).withColumnRenamed("path", "object_name")
+    return parse_object_name(stored.select("object_name", decode_text("content").alias("text")))
 
-def _header_columns(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    """Column names of a CSV file: an all-text schema needs them, but no pass over the data."""
-    return spark.read.option("encoding", encoding).option("header", True).csv(path).columns
+
+def list_filing_text(spark: SparkSession, path: str, packed: bool = False, pattern: str = "*.txt") -> DataFrame:
+    """Object names and their parts; no content is read."""
+    return read_filing_text(spark, path, packed, pattern).drop("text")
+
+
+def read_chosen(spark: SparkSession, chosen: DataFrame, max_files: int = 100_000) -> DataFrame:
+    """The texts of chosen objects, and of no other: the first ``max_files`` in name order, one run's share.
+
+    The names become the scan's list of files, which Spark keeps on the driver for any scan.
+    """
+    names = [row.object_name for row in chosen.select("object_name").orderBy("object_name").limit(max_files).collect()]
+    if names:
+        return read_filing_text(spark, names)
+    return parse_object_name(spark.createDataFrame([], "object_name STRING, text STRING"))
 
 
 def _read_csv(
     spark: SparkSession, path: str, encoding: str = "UTF-8", drop_wide: bool = False
 ) -> DataFrame:
-    """All cells as text. Short lines are filled with nulls; surplus cells are cut, or their lines dropped."""
-    names = _header_columns(spark, path, encoding)
+    """All cells as text; quoted cells may hold line breaks. Short lines are filled with nulls; surplus cells are cut,
+    or their lines dropped. Files of one folder must have the same header."""
+    options = {"header": True, "encoding": encoding, "escape": '"', "multiLine": True}
+    names = spark.read.options(**options).csv(path).columns
+    first = F.rtrim(F.substring_index("value", "\n", 1), F.lit("\r"))
+    heads = spark.read.text(path, wholetext=True).select(first.alias("head")).where("head <> ''").distinct().limit(2).collect()
+    if len(heads) > 1:
+        raise ValueError(f"files below {path} have different headers")
     schema = ", ".join(f"`{name}` STRING" for name in [*names, "_surplus"])
-    options = {"header": True, "encoding": encoding, "escape": '"', "enforceSchema": True}
-    rows = spark.read.options(**options).schema(schema).csv(path)
+    rows = spark.read.options(**options, enforceSchema=True).schema(schema).csv(path)
     return (rows.filter(F.col("_surplus").isNull()) if drop_wide else rows).drop("_surplus")
 
 
@@ -109,6 +119,7 @@ def first_available(spark: SparkSession, paths: list[str], schema: str) -> DataF
     for path in paths:
         try:
             return read_layer(spark, path)
-        except AnalysisException:
-            continue
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
     return spark.createDataFrame([], schema)

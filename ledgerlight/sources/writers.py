@@ -7,7 +7,9 @@ into every folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.operators.filings import only_new
@@ -44,6 +46,14 @@ def write_text_features(features: DataFrame, path: str) -> None:
     _write_partitioned(features, path, "section", "dynamic")
 
 
+def append_text_features(features: DataFrame, path: str) -> None:
+    """The features of one run, in a folder of their own beside those of earlier runs; nothing stored is touched.
+
+    `streaming.incremental.current_features` reads the newest row of each document.
+    """
+    _write_partitioned(features, f"{path}/batch={time.time_ns()}", "section", "static")
+
+
 def write_composite(composite: DataFrame, path: str) -> None:
     composite.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
@@ -53,12 +63,14 @@ def write_universe(universe: DataFrame, path: str) -> None:
     order_universe(universe).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def lineage_columns(df: DataFrame, content: str = "content", extra: list[str] | None = None) -> DataFrame:
+def lineage_columns(
+    df: DataFrame, content: str = "content", extra: list[str] | None = None, now: Column | None = None
+) -> DataFrame:
     """Hash, size, time and a sidecar document for objects with object_name, source_url and http_status."""
     named = df.withColumns({
         "sha256": F.sha2(F.col(content).cast("binary"), 256),
         "size_bytes": F.octet_length(content),
-        "fetched_at_utc": processed_now(),
+        "fetched_at_utc": processed_now() if now is None else now,
     })
     parts = [
         "object_name", "source_url", "http_status", "fetched_at_utc", "size_bytes", "sha256", *(extra or []),
@@ -69,14 +81,20 @@ def lineage_columns(df: DataFrame, content: str = "content", extra: list[str] |
 def land_with_lineage(
     objects: DataFrame, path: str, landed: DataFrame | None = None, extra: list[str] | None = None
 ) -> DataFrame:
-    """Append objects that are not landed yet; nothing landed is ever rewritten. Returns the rows appended.
+    """Store objects that are not landed yet; nothing landed is ever rewritten. Returns the rows as they are stored.
 
-    ``landed`` holds the object names stored before; without it ``path`` is taken to be new. Names are
-    unique within one run, as they are made of company, filing and date.
+    ``landed`` holds the object names stored before; without it ``path`` must be new. Of several objects of one
+    name the one with the smallest hash is stored. New names are chosen before any content is moved.
     """
-    new = lineage_columns(objects if landed is None else only_new(objects, landed), extra=extra)
-    new.write.mode("append").parquet(path)
-    return new
+    if landed is not None:
+        names = only_new(objects, landed)
+        objects = objects.join(names, "object_name", "left_semi")
+    now = objects.sparkSession.range(1).select(processed_now().alias("now")).first().now
+    named = lineage_columns(objects, extra=extra, now=F.lit(now))
+    one = Window.partitionBy("object_name").orderBy("sha256", "source_url", "http_status")
+    new = named.withColumn("_rn", F.row_number().over(one)).where("_rn = 1").drop("_rn")
+    new.write.mode("errorifexists" if landed is None else "append").parquet(path)
+    return objects.sparkSession.read.parquet(path).where(F.col("fetched_at_utc") == now)
 
 
 def write_summary(results: DataFrame, path: str) -> None:
@@ -84,6 +102,6 @@ def write_summary(results: DataFrame, path: str) -> None:
     results.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def dry_run(df: DataFrame, n: int = 5) -> DataFrame:
-    """A sample to look at; nothing is written."""
-    return df.limit(n)
+def dry_run(df: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
+    """The first rows by key, to look at; nothing is written."""
+    return df.orderBy(*keys).limit(n)

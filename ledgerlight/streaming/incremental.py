@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.text import decode_text
-from ledgerlight.operators.text_features import latest_batch
+from ledgerlight.operators.text_features import Scorer, latest_batch
 from ledgerlight.plans.layers import build_text_features
 from ledgerlight.sources.readers import read_partitioned
 from ledgerlight.sources.writers import write_text_features
@@ -26,7 +26,7 @@ def incremental_features(
     source: str,
     sink: str,
     checkpoint: str,
-    scorer: Callable[[str], str] | None = None,
+    make_scorer: Callable[[], Scorer] | None = None,
     max_files: int = 10_000,
 ) -> None:
     """Process all new ``.txt`` objects below ``source`` and return when none is left."""
@@ -39,7 +39,7 @@ def incremental_features(
     documents = files.select(F.col("path").alias("object_name"), decode_text("content").alias("text"))
 
     def store(batch: DataFrame, number: int) -> None:
-        write_text_features(build_text_features(batch, scorer=scorer), f"{sink}/batch={number}")
+        write_text_features(build_text_features(batch, make_scorer=make_scorer), f"{sink}/batch={number}")
 
     query = (
         documents.writeStream.foreachBatch(store)

@@ -60,10 +60,10 @@ def test_response(answers, i):
     assert {name: answers[i][name] for name in expected} == expected
 
 
-def test_lengths_are_cut(spark):
+def test_nothing_is_cut(spark):
     raw = json.dumps({"key_distress_signal": "a" * 999, "summary": "b" * 999})
     row = N.response_fields(spark.createDataFrame([("mda", raw)], "section STRING, raw STRING")).first()
-    assert (len(row.key_distress_signal), len(row.llm_summary), len(row.llm_raw)) == (300, 400, 1000)
+    assert (len(row.key_distress_signal), len(row.llm_summary), row.llm_raw) == (999, 999, raw)
 
 
 @pytest.fixture
@@ -73,7 +73,7 @@ def scorer():
             raise RuntimeError("server away " + "x" * 500)
         return '{"sentiment_score": -0.4, "risk_level": "high"}'
 
-    return answer
+    return N.one_by_one(answer)
 
 
 DOCUMENTS = [
@@ -86,10 +86,10 @@ DOCUMENTS = [
 
 def test_one_failed_call_stays_its_own(spark, scorer):
     documents = spark.createDataFrame(DOCUMENTS, "object_name STRING, text STRING")
-    rows = {r.accession: r for r in build_text_features(documents, scorer=scorer, parallelism=2).collect()}
+    rows = {r.accession: r for r in build_text_features(documents, make_scorer=scorer).collect()}
     assert set(rows) == {"a", "b"}
     assert (rows["a"].sentiment_score, rows["a"].risk_level, rows["a"].liquidity_risk) == (-0.4, "high", 1)
-    assert rows["b"].llm_raw.startswith("server away") and len(rows["b"].llm_raw) == 200
+    assert rows["b"].llm_raw == "server away " + "x" * 500
     assert (rows["b"].risk_level, rows["b"].severity_language) == ("medium", None)
 
 
@@ -97,8 +97,8 @@ def test_skip_resume_and_upsert(spark, scorer):
     documents = spark.createDataFrame(DOCUMENTS, "object_name STRING, text STRING")
     skipped = build_text_features(documents)
     assert {r.llm_raw for r in skipped.collect()} == {"skipped"}
-    assert build_text_features(documents, done=skipped, scorer=scorer).count() == 0
-    redone = build_text_features(documents, done=skipped, scorer=scorer, redo_skipped=True)
+    assert build_text_features(documents, done=skipped, make_scorer=scorer).count() == 0
+    redone = build_text_features(documents, done=skipped, make_scorer=scorer, redo_skipped=True)
     assert redone.count() == 2
     assert build_text_features(documents, done=skipped.limit(0), limit=1).first().accession == "a"
     merged = N.upsert_latest(skipped, redone)
@@ -115,14 +115,20 @@ def test_upsert_unites_columns(spark):
 
 
 def test_scorer_is_called_once_per_row(spark, tmp_path):
-    log = str(tmp_path / "calls")
+    log, made = str(tmp_path / "calls"), str(tmp_path / "made")
 
-    def logging_scorer(prompt):
-        with open(log, "a") as f:
+    def make_scorer():
+        with open(made, "a") as f:
             f.write("x")
-        return "{}"
+
+        def answer(prompts):
+            with open(log, "a") as f:
+                f.write("x" * len(prompts))
+            return ["{}"] * len(prompts)
+
+        return answer
 
     df = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "i INT, prompt STRING")
-    scored = N.score_documents(df, logging_scorer).select("i", F.col("response.raw"), F.col("response.error"))
+    scored = N.score_documents(df.repartition(2), make_scorer, batch_size=3).select("i", F.col("response.raw"), F.col("response.error"))
     assert scored.filter("raw IS NOT NULL").count() == 20
-    assert len(open(log).read()) == 20
+    assert len(open(log).read()) == 20 and len(open(made).read()) == 2

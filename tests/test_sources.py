@@ -9,7 +9,7 @@ from ledgerlight.operators import filings as TX
 from ledgerlight.operators import universe as U
 from ledgerlight.plans import diagnostics as A
 from ledgerlight.plans.layers import build_universe
-from ledgerlight.session import scratch_path
+from ledgerlight.session import scratch_path, shared_folder
 from ledgerlight.sources import readers as RD
 from ledgerlight.sources import writers as WR
 from ledgerlight.streaming.incremental import current_features, incremental_features
@@ -146,15 +146,14 @@ def test_column_profile(spark):
     assert {tuple(r) for r in A.value_counts(df, "s").collect()} == {("a", 2)}
 
 
-def test_scratch_folder_is_the_one_the_session_names(spark):
+def test_scratch_folder_is_a_shared_one(spark):
     root = spark.conf.get("spark.checkpoint.dir")
-    assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
-
-
-def test_small_scans_are_spread_and_large_ones_left(spark):
-    wide = spark.range(100).repartition(9)
-    assert RD.spread(wide, "id") is wide
-    assert RD.spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == 4
+    assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") == scratch_path(spark, "x")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        assert shared_folder(spark) == root  # the session's own start-up setting
+    finally:
+        spark.conf.set("spark.checkpoint.dir", root)
 
 
 def test_section_files(spark, tmp_path):

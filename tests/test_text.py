@@ -88,12 +88,17 @@ def test_object_names(spark):
     ]
 
 
-def test_prompt_quotes_and_excerpt(spark):
+def test_prompts_hold_whole_texts(spark):
     df = spark.createDataFrame([("mda", 'say "x"' + "y" * 5000), ("notes", "z" * 5000)], "section STRING, text STRING")
     templates = {"mda": ("[", "]"), "other": ("(", ")")}
     prompts = [r.prompt for r in N.build_prompt(df, templates).collect()]
-    assert prompts[0] == "[" + "say 'x'" + "y" * 3993 + "]"
-    assert prompts[1] == "(" + "z" * 3000 + ")"
+    assert prompts == ["[" + "say 'x'" + "y" * 5000 + "]", "(" + "z" * 5000 + ")"]
+    parts = N.build_prompt(df.unionAll(spark.createDataFrame([("mda", "")], df.schema)), templates, chunk_chars=4000)
+    rows = [(r.section, r.chunk, r.prompt) for r in parts.collect()]
+    assert rows == [
+        ("mda", 0, "[say 'x'" + "y" * 3993 + "]"), ("mda", 1, "[" + "y" * 1007 + "]"), ("notes", 0, "(" + "z" * 4000 + ")"),
+        ("notes", 1, "(" + "z" * 1000 + ")"), ("mda", 0, "[]"),
+    ]
     default = N.build_prompt(df).collect()
     assert all(name in default[0].prompt for name in ("liquidity_signal", "covenant_breach_mentioned"))
 
