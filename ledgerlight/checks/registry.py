@@ -27,6 +27,7 @@ from ledgerlight.plans import layers as L
 from ledgerlight.session import scratch_path
 from ledgerlight.sources import readers as RD
 from ledgerlight.sources import writers as WR
+from ledgerlight.streaming import incremental as IN
 
 Plan = Callable[[Inputs], DataFrame]
 
@@ -317,6 +318,22 @@ add(
     "SELECT status, count(*) AS n, coalesce(sum(bytes), 0) / 1048576.0 AS total_mb FROM land_outcomes GROUP BY status",
     {"total_mb": 8},
 )
+
+
+def _outcome_file(t: Inputs) -> DataFrame:
+    """The outcome of every item, written as a file and read back."""
+    path = scratch_path(t.spark, "outcomes")
+    WR.write_summary(TX.land_sections(_land_documents(t), _landed_names(t), LAND_DATE).drop("section_text"), path)
+    cells = "cik STRING, accession STRING, section STRING, object_name STRING, status STRING, bytes BIGINT"
+    stored = t.spark.read.options(**WR.CSV_OPTIONS).schema(cells).csv(path)
+    return stored.select("cik", "accession", "section", "status", "bytes")
+
+
+add(
+    "snk7_write_summary",
+    _outcome_file,
+    """SELECT CAST(cik AS VARCHAR) AS cik, accession, section, status, CAST(bytes AS BIGINT) AS bytes FROM land_outcomes""",
+)
 add(
     "snk8_dry_run",
     lambda t: WR.dry_run(t.silver.select(*K.SILVER_COLUMNS), ["cik", "period_end"], 5),
@@ -565,9 +582,15 @@ def _page_sections(t: Inputs) -> DataFrame:
 
 
 add("txt2_extract_section", _page_sections, "SELECT page_id, cik, section, section_text FROM page_sections")
+# The byte prefix as hex; the lead bytes of a character that the prefix ends in become U+FFFD.
+CUT_CHARACTER = "^((?:[0-9A-F]{2})*?)(?:[CD][0-9A-F]|E[0-9A-F](?:[89AB][0-9A-F])?|F[0-7](?:[89AB][0-9A-F]){0,2})$"
 add(
     "txt3_truncate_utf8",
-    lambda t: t.table("documents").select("doc_id", X.truncate_utf8("text", 501).alias("head")),
+    lambda t: t.table("documents").select("doc_id", F.hex(X.truncate_utf8("text", 501).cast("binary")).alias("head_hex")),
+    f"""SELECT doc_id, CASE WHEN length(h) <= 1002 THEN h
+         WHEN substr(h, 1003, 1) IN ('8', '9', 'A', 'B') THEN regexp_replace(substr(h, 1, 1002), '{CUT_CHARACTER}', '\\1EFBFBD')
+         ELSE substr(h, 1, 1002) END AS head_hex
+       FROM (SELECT doc_id, hex(encode(text)) AS h FROM documents) d""",
 )
 O.STEPS["annual_filings"] = """
 SELECT doc, cik, form, accession_dashed, filing_date, primary_document, replace(accession_dashed, '-', '') AS accession
@@ -1061,12 +1084,23 @@ add(
     lambda t: A.value_counts(t.cases, "CikBefore"),
     "SELECT CikBefore AS value, count(*) AS n FROM cases WHERE CikBefore IS NOT NULL GROUP BY CikBefore",
 )
+
+
+def _fresh_layers(t: Inputs) -> DataFrame:
+    """A layer that this query writes, one file for each folder, and one that does not exist."""
+    path = scratch_path(t.spark, "suppliers")
+    suppliers = t.table("supplier").withColumn("nation", F.col("s_nationkey"))
+    suppliers.repartition("nation").write.mode("overwrite").partitionBy("nation").parquet(path)
+    report = A.freshness_report(t.spark, {"suppliers": path, "no_such_layer": f"{path}-none"})
+    young = F.coalesce(F.col("age_days").between(-0.01, 0.5), F.lit(False)).alias("young")
+    return report.select("layer", "n_files", "is_fresh", young)
+
+
 add(
     "qry13_freshness",
-    lambda t: A.freshness_report(
-        t.spark, {name: f"{t.folder}/{name}.parquet" for name in ("lineitem", "orders", "no_such_layer")}
-    ).select("layer", "n_files"),
-    "SELECT 'lineitem' AS layer, 1::BIGINT AS n_files UNION ALL SELECT 'orders', 1 UNION ALL SELECT 'no_such_layer', 0",
+    _fresh_layers,
+    """SELECT 'suppliers' AS layer, count(DISTINCT s_nationkey) AS n_files, true AS is_fresh, true AS young FROM supplier
+       UNION ALL SELECT 'no_such_layer', 0, false, false""",
 )
 
 # -------------------------------------------------------------------------------------------- dashboard
@@ -1250,3 +1284,31 @@ add(
     f"SELECT {', '.join(K.EXPLORER_COLUMNS)} FROM gold",
     Z,
 )
+
+# ------------------------------------------------------------------------------------------ composite layer
+
+add("cmp14_describe", lambda t: Q.describe(t.composite, "composite_score"), describe_sql("composite_score", "composite"), MOMENTS)
+add(
+    "cmp14_zone_counts",
+    lambda t: G.zone_counts(t.composite, "composite_zone"),
+    "SELECT composite_zone AS zone, count(*) AS n FROM composite WHERE composite_zone IS NOT NULL GROUP BY composite_zone",
+)
+
+# ---------------------------------------------------------------------------------------------- streaming
+
+
+def _streamed(t: Inputs) -> DataFrame:
+    """Half of the section texts arrive, are processed, the others arrive, are processed."""
+    path = f"{scratch_path(t.spark, 'stream')}/{uuid.uuid4().hex}"
+    texts = t.filing_text.select("object_name", F.col("text").cast("binary").alias("content"), "doc_id")
+    for half in (0, 1):
+        texts.where(F.col("doc_id") % 2 == half).drop("doc_id").write.mode("append").parquet(f"{path}/in")
+        IN.incremental_features(t.spark, f"{path}/in", f"{path}/out", f"{path}/state", packed=True)
+    return IN.current_features(t.spark, f"{path}/out")
+
+
+add(
+    "inc1_incremental_features",
+    lambda t: _streamed(t).select(*ROW_CELLS),
+    f"SELECT {', '.join(ROW_CELLS)} FROM text_rows",
+)

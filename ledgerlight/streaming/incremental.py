@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlight.functions.text import decode_text
 from ledgerlight.operators.text_features import Scorer, latest_batch
@@ -19,6 +18,7 @@ from ledgerlight.sources.readers import read_partitioned
 from ledgerlight.sources.writers import write_text_features
 
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+PACKED_SCHEMA = "object_name STRING, content BINARY"
 
 
 def incremental_features(
@@ -28,15 +28,19 @@ def incremental_features(
     checkpoint: str,
     make_scorer: Callable[[], Scorer] | None = None,
     max_files: int = 10_000,
+    packed: bool = False,
 ) -> None:
-    """Process all new ``.txt`` objects below ``source`` and return when none is left."""
-    files = (
-        spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
-        .option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
-        .load(source)
-    )
-    documents = files.select(F.col("path").alias("object_name"), decode_text("content").alias("text"))
+    """Process all new ``.txt`` objects below ``source``, or with ``packed`` all new Parquet files of (object_name,
+    content), and return when none is left."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    if packed:
+        files = reader.schema(PACKED_SCHEMA).parquet(source)
+    else:
+        files = (
+            reader.format("binaryFile").schema(FILE_SCHEMA)
+            .option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).load(source)
+        ).withColumnRenamed("path", "object_name")
+    documents = files.select("object_name", decode_text("content").alias("text"))
 
     def store(batch: DataFrame, number: int) -> None:
         write_text_features(build_text_features(batch, make_scorer=make_scorer), f"{sink}/batch={number}")

@@ -1,7 +1,4 @@
-"""A cross-section of the registered queries against their oracles; tools/check.py runs all of them.
-
-LEDGERLIGHT_ALL=1 makes this file run all of them too.
-"""
+"""All registered queries of the engine against their oracles; those of the llm subpackage have tests of their own."""
 
 import os
 import re
@@ -16,15 +13,8 @@ from check import compare, connect  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-SOME = [
-    "src3_parse_object_name", "src7_read_bankruptcy_cases", "snk6_land_with_lineage", "flt2_explode_facts",
-    "flt3_resolve_tag_aliases", "flt3_flatten_facts", "slv9_silver", "gld1_universe_labels", "gld9_gold_ordered",
-    "gld10_describe", "txt2_extract_section", "txt4_recent_annual_filings", "nlp3_document_rows",
-    "nlp13_neutral_fallback", "nlp14_score_documents", "nlp16_upsert_latest", "cmp9_composite_score",
-    "cmp14_top_distress", "uni11_order_universe", "qry1_zone_distribution", "qry2_score_by_label",
-    "dsh11_revenue_growth_spread", "dsh17_sentiment_against_z", "dsh27_outcome_detail",
-]
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {name: plan for name, plan in entry.queries().items() if name in entry.QUERIES}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
 
@@ -34,7 +24,7 @@ def con():
 
 
 @needs_data
-@pytest.mark.parametrize("name", list(QUERIES) if os.environ.get("LEDGERLIGHT_ALL") else SOME)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_oracle(spark, con, name):
     verdict, _, _ = compare(spark, con, FOLDER, name, QUERIES[name], ORACLES.get(name))
     assert verdict in ("ok", "rows only"), verdict
@@ -49,7 +39,7 @@ def test_every_operator_of_the_survey_is_registered():
         }.items() for i in range(1, n + 1)
     }
     assert wanted <= covered
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) - len(ORACLES) <= 2
+    assert set(ORACLES) == set(QUERIES)
 
 
 @needs_data
@@ -62,8 +52,8 @@ def test_entry(spark):
 @needs_data
 def test_plans_have_no_cartesian_product_and_no_python(spark):
     scoring = {"nlp14_score_documents"}
-    writing = {name for name in QUERIES if name.startswith(("src1_read", "src4", "src5", "src7", "snk"))}
-    for name in sorted(set(QUERIES if os.environ.get("LEDGERLIGHT_ALL") else SOME) - writing):
+    writing = {name for name in QUERIES if name.startswith(("src1_read", "src2", "src4", "src5", "src7", "snk", "inc1"))}
+    for name in sorted(set(QUERIES) - writing):
         plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
         assert ("EvalPython" in plan or "InPandas" in plan) == (name in scoring), name

@@ -3,12 +3,15 @@ import hashlib
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from ledgerlight import constants as K
 from ledgerlight.operators import filings as TX
+from ledgerlight.operators import text_features as N
 from ledgerlight.operators import universe as U
 from ledgerlight.plans import diagnostics as A
-from ledgerlight.plans.layers import build_universe
+from ledgerlight.operators.filings import land_sections, landed_sections
+from ledgerlight.plans.layers import build_text_features, build_universe
 from ledgerlight.session import scratch_path, shared_folder
 from ledgerlight.sources import readers as RD
 from ledgerlight.sources import writers as WR
@@ -149,11 +152,7 @@ def test_column_profile(spark):
 def test_scratch_folder_is_a_shared_one(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") == scratch_path(spark, "x")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        assert shared_folder(spark) == root  # the session's own start-up setting
-    finally:
-        spark.conf.set("spark.checkpoint.dir", root)
+    assert shared_folder(spark) == root
 
 
 def test_section_files(spark, tmp_path):
@@ -182,3 +181,75 @@ def test_incremental_features(spark, tmp_path):
     rows = {r.accession: r for r in current_features(spark, sink).collect()}
     assert set(rows) == {"a", "b", "c"} and rows["a"].going_concern == 1 and rows["c"].restructuring == 1
     assert {name: rows[name].processed_at for name in before} == before  # finished documents were left alone
+
+
+def test_cells_with_line_breaks_and_headers_that_differ(spark, tmp_path):
+    folder = tmp_path / "u"
+    folder.mkdir()
+    (folder / "a.csv").write_text('cik,company_name,x\n1,"two\nlines",a\n2,plain\n')
+    rows = sorted((r.cik, r.company_name, r.x) for r in RD.read_universe(spark, str(folder)).collect())
+    assert rows == [("0000000001", "two\nlines", "a"), ("0000000002", "plain", None)]
+    (folder / "b.csv").write_text("company_name,cik,x\nother,3,c\n")
+    with pytest.raises(ValueError, match="different headers"):
+        RD.read_universe(spark, str(folder))
+
+
+def test_only_missing_folders_count_as_unavailable(spark, tmp_path):
+    assert RD.first_available(spark, [str(tmp_path / "none")], "a INT").count() == 0
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(AnalysisException):
+        RD.first_available(spark, [str(tmp_path / "broken")], "a INT")
+
+
+def test_landing_is_write_once(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    schema = "object_name STRING, content STRING, source_url STRING, http_status INT"
+    objects = spark.createDataFrame([("a", "x", "u", 200), ("a", "y", "u", 200), ("b", "z", "u", 200)], schema)
+    first = sorted(WR.land_with_lineage(objects, path).collect())
+    assert first == sorted(spark.read.parquet(path).collect()) and [r.object_name for r in first] == ["a", "b"]
+    with pytest.raises(AnalysisException):
+        WR.land_with_lineage(objects, path)
+    more = objects.unionAll(spark.createDataFrame([("c", "n", "u", 404)], schema))
+    second = WR.land_with_lineage(more, path, spark.read.parquet(path)).collect()
+    assert [(r.object_name, r.http_status) for r in second] == [("c", 404)]
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_runs_of_text_features_stand_side_by_side(spark, tmp_path):
+    path = str(tmp_path / "features")
+    names = [f"ingestion_date=2024-01-01/CIK{i}_{i}_mda.txt" for i in range(4)]
+    for upto in (2, 4):
+        documents = spark.createDataFrame([(name, "going concern") for name in names[:upto]], "object_name STRING, text STRING")
+        done = current_features(spark, path) if upto > 2 else None
+        WR.append_text_features(build_text_features(documents, done=done), path)
+        assert sorted(r.accession for r in current_features(spark, path).collect()) == [str(i) for i in range(upto)]
+    assert len(os.listdir(path)) >= 2
+
+
+def test_choices_are_made_on_names_alone(spark, tmp_path):
+    """Nothing below an anti join, and nothing in a landing join, holds a text."""
+    documents = spark.createDataFrame([("ingestion_date=2024-01-01/CIK1_a_mda.txt", "words")], "object_name STRING, text STRING")
+    done = build_text_features(documents)
+    names = N.parse_object_name(documents.select("object_name"))
+    assert "text" not in N.resume_filter(N.parse_object_name(documents), done).columns
+    assert N.resume_filter(names, N.done_keys(done)).count() == 0 and build_text_features(documents, done=done).count() == 0
+    for i in range(3):
+        (tmp_path / f"CIK{i}_acc{i}_mda.txt").write_text(f"text {i}")
+    listed = RD.list_filing_text(spark, str(tmp_path))
+    scan = N.resume_filter(listed, N.done_keys(done))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in scan.split("ReadSchema")[1].split("\n")[0]
+    chosen = RD.read_chosen(spark, listed.where("cik <> '1'"))
+    assert sorted(r.text for r in chosen.collect()) == ["text 0", "text 2"]
+    assert RD.read_chosen(spark, listed.limit(0)).collect() == []
+    landed = spark.createDataFrame([(object_key_of("1", "a", "mda"),)], "object_name STRING")
+    stored = str(tmp_path / "filings")
+    spark.createDataFrame([("1", "a", "word " * 50)], "cik STRING, accession STRING, text STRING").write.parquet(stored)
+    filings = spark.read.parquet(stored)
+    joins = landed_sections(filings, landed, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in joins.split("ReadSchema")[1].split("\n")[0]
+    statuses = {r.section: r.status for r in land_sections(filings, landed, "2024-01-01").collect()}
+    assert statuses["mda"] == "already_exists" and set(statuses.values()) == {"already_exists", "section_not_found"}
+
+
+def object_key_of(cik, accession, section):
+    return f"edgar_filings_text/ingestion_date=2024-01-01/CIK{cik:0>10}_{accession}_{section}.txt"
