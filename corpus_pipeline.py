@@ -40,7 +40,7 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, their number, and whether they decode to its text."""
     vocabulary = bpe_vocabulary(spark)
-    back = byte_bpe.decode(byte_bpe.encode(docs, vocabulary), vocabulary)
+    back = byte_bpe.encode(docs, vocabulary, decoded="decoded")
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", same.alias("decodes"))
 

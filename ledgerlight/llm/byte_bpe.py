@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 from ledgerlight.llm.common import slices
 
 #: Texts that are held as Python objects at once, in bytes; longer ones are encoded in pieces of BLOCK_CHARS.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BLOCK_CHARS = 4 << 20
 #: Encoded words that a Python worker remembers; the memory is emptied when it is full.
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
 #: A rank file larger than this isn't broadcast.
 MAX_MODEL_BYTES = 64 << 20
 
@@ -207,24 +207,34 @@ def _shared(df: DataFrame, vocabulary: Vocabulary):
     return df.sparkSession.sparkContext.broadcast(vocabulary)
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", count: str = "n_tokens", keep: bool = True) -> DataFrame:
+def text_of(ids: bytes, tokens: tuple[bytes, ...]) -> bytes:
+    """The bytes that packed ids stand for."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode(
+    df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", count: str = "n_tokens", keep: bool = True, decoded: str | None = None,
+) -> DataFrame:
     """Add the ids of each whole text (binary, unsigned little-endian 32-bit) and their number.
 
-    ``keep=False`` leaves the text itself out. No shuffle: rows stay in their partitions.
+    ``keep=False`` leaves the text itself out; ``decoded`` names a further column for the bytes that the ids decode to, for
+    checks in the same pass. No shuffle: rows stay in their partitions.
     """
     shared = _shared(df, vocabulary)
     source = df if keep else df.drop(text)
-    schema = _added(source, T.StructField(count, T.LongType()), T.StructField(ids, T.BinaryType()))
+    fields = [T.StructField(count, T.LongType()), T.StructField(ids, T.BinaryType())]
+    schema = _added(source, *fields, *([T.StructField(decoded, T.BinaryType())] if decoded else []))
     kept = source.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder, tokens = Encoder(shared.value), shared.value.tokens
         for batch in batches:
             for rows, texts in slices(batch, text, SLICE_BYTES):
                 out = encoder.encode_all([raw.as_py().decode("utf-8", "replace") for raw in texts])
-                columns = [rows.column(name) for name in kept]
-                counts = pa.array([len(packed) // 4 for packed in out], pa.int64())
-                yield pa.RecordBatch.from_arrays([*columns, counts, pa.array(out, pa.binary())], [*kept, count, ids])
+                columns = [*(rows.column(name) for name in kept), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([text_of(x, tokens) for x in out], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return df.mapInArrow(run, schema)
 
@@ -240,7 +250,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
         tokens = shared.value.tokens
         for batch in batches:
             for rows, column in slices(batch, ids, SLICE_BYTES):
-                texts = [b"".join(map(tokens.__getitem__, np.frombuffer(x.as_py(), "<u4").tolist())) for x in column]
+                texts = [text_of(x.as_py(), tokens) for x in column]
                 yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), pa.array(texts, pa.binary())], [*kept, out])
 
     return df.mapInArrow(run, schema)

@@ -7,7 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from ledgerlight.session import checkpointed
+
+__all__ = ["binary_column", "buffers", "checkpointed", "packed", "private", "shuffle_partitions", "slices"]
 
 
 def private(name: str) -> str:
@@ -15,18 +19,6 @@ def private(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the cluster's shared checkpoint folder, so that later steps survive lost executors.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset one is made below the warehouse.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(root or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
-    return df.checkpoint(eager=True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

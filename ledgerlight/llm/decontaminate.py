@@ -36,7 +36,9 @@ TARGET_RECALL = 0.95
 MOST_REPETITIONS, TRIALS, SEED = 64, 400, 17
 #: Steps at which symbols are sampled lie below these, for items of at least so many words.
 REACH = {12: 10, 5: 4}
-SAMPLES = 4
+SAMPLES = 6
+#: Words that a repetition's place in an item may move.
+MOVES = (0, 1, -1, 2, -2, 3, -3, 4, -4)
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
 TABLE = 1 << 18
@@ -111,6 +113,18 @@ def walk(names: np.ndarray, at: np.ndarray, stop: np.ndarray, seed: np.uint64, s
     return left, key
 
 
+def visited(names: np.ndarray, at: np.ndarray, stop: np.ndarray, seed: np.uint64, steps: tuple[int, ...]) -> np.ndarray:
+    """How many different words the samples of each walk see; 0 for walks that leave their text."""
+    pointer, seen, last = at.copy(), np.ones(len(at), np.int64), at.copy()
+    for step in range(1, steps[-1] + 1):
+        here = np.minimum(pointer, len(names) - 1)
+        pointer = pointer + (W.mix(names[here] ^ W.mix(np.full(1, seed + np.uint64(step), np.uint64))) & np.uint64(1)).astype(np.int64)
+        if step in steps:
+            seen += pointer != last
+            last = pointer.copy()
+    return np.where(pointer < stop, seen, 0)
+
+
 class Index:
     """Repetitions over some items; ``keys`` are the items' own ids, ``names`` their words."""
 
@@ -144,7 +158,12 @@ class Index:
         for r in range(MOST_REPETITIONS):
             seed = np.uint64(rng.integers(1, 2**62))
             steps = (0, *sorted(rng.choice(np.arange(1, reach + 1), min(SAMPLES - 1, reach), replace=False).tolist()))
-            offsets = ((lengths[mine] - steps[-1] - 1) * (order[r] + 0.5) / MOST_REPETITIONS).astype(np.int64)
+            # near the repetition's part of the item, the place whose samples see most words: a walk that stands still tells little
+            room = lengths[mine] - steps[-1] - 1
+            offsets = (room * (order[r] + 0.5) / MOST_REPETITIONS).astype(np.int64)
+            tries = np.stack([np.clip(offsets + move, 0, np.maximum(room, 0)) for move in MOVES])
+            seen = np.stack([visited(self.flat, self.first[mine] + t, self.first[mine + 1], seed, steps) for t in tries])
+            offsets = tries[seen.argmax(axis=0), np.arange(len(mine))]
             at = self.first[mine] + offsets
             left, keys = walk(self.flat, at, self.first[mine + 1], seed, steps, None)
             by_key = np.argsort(keys, kind="stable")
@@ -204,6 +223,7 @@ class Index:
             return []
         best: dict[tuple[int, int], tuple[int, int]] = {}
         done = set()
+        text = words.text
         for item, begin in sorted(set(zip(items.tolist(), begins.tolist()))):
             n = len(self.names[item])
             room = allowed(n)
@@ -211,11 +231,12 @@ class Index:
                 continue
             done.add((item, begin // (room + 1)))
             # the stretch that agreed lies in one text; the window is looked for around it
-            for t in {int(words.text[min(max(p, 0), len(stop) - 1)]) for p in (begin, begin + n // 2, begin + n - 1)}:
+            for t in {int(text[min(max(p, 0), len(stop) - 1)]) for p in (begin, begin + n // 2, begin + n - 1)}:
                 low = max(int(words.first[t]), begin - 2 * room - 1)
                 high = min(int(words.first[t + 1]), begin + n + 2 * room + 1)
-                if high - low < n - room:
-                    continue
+                near = set(words.hashes[low:high].tolist())
+                if sum(name in near for name in self.names[item].tolist()) < n - room:
+                    continue  # every word that is missing costs an edit
                 distance, end = edit_distance(self.names[item], words.hashes[low:high])
                 if distance <= room:
                     key = (t, item)

@@ -422,14 +422,14 @@ def _joined(slices: DataFrame, window: int) -> DataFrame:
 
 def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """key, n_shingles, component_id of every row: the size of its set and the smallest key that links lead to."""
-    return _joined(slices_of(docs, key, text), window).select(
+    return _joined(slices_of(docs, key, text, level=3), window).select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """One row of each component, one with its smallest key; rows that are linked with nothing stay. All columns stay as they are."""
-    slices = slices_of(docs, key, text, rest=True)
+    slices = slices_of(docs, key, text, level=3, rest=True)
     kept = _joined(slices, window).where("uid = keeper").select("uid", F.floor(F.col("uid") / ROWS).alias("slice"))
     names = docs.columns
 

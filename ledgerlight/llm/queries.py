@@ -46,8 +46,8 @@ def bpe_vocabulary(spark: SparkSession, path: str | None = None) -> byte_bpe.Voc
 @query("op1_byte_bpe")
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe_vocabulary(spark)
-    ids = byte_bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary, keep=False)
-    return byte_bpe.decode(ids, vocabulary).select(
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return byte_bpe.encode(docs, vocabulary, keep=False, decoded="decoded").select(
         "doc_id", "n_tokens", sha256(F.col("ids")).alias("ids_sha256"), sha256(F.col("decoded")).alias("decoded_sha256")
     )
 
