@@ -65,3 +65,10 @@ def test_scans_read_only_what_is_needed(spark):
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
     lineitem = next(scan for scan in scans if "l_orderkey" in scan)
     assert "l_tax" not in lineitem and "l_discount" not in lineitem
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["qry2_score_by_label", "qry4_group_table", "gld10_describe", "dsh7_median_z_over_time"])
+def test_reports_compute_their_input_once(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan  # all steps read the stored input
