@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import byte_bpe, decontaminate, jaccard_join, quality_rank, suffix_dedup
-from ledgerlight.llm.common import checkpointed
+from ledgerlight.llm.common import checkpointed, private
 from ledgerlight.llm.queries import bpe_vocabulary, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is below the cut go."""
     ranker = quality_rank.fit_ranker(docs, table(spark, sf_dir, "labels"))
-    return quality_rank.score(docs, ranker, keep=True).where("predicted = 1").select(*docs.columns)
+    names = private("score"), private("predicted")
+    return quality_rank.score(docs, ranker, keep=True, names=names).where(F.col(names[1]) == 1).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +28,10 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that repeat an earlier string of 100 bytes are cut out; what is left of a character that was cut goes too."""
-    cut = suffix_dedup.remove_repeats(docs, rest=True)
-    text = F.when(F.col("n_removed") > 0, suffix_dedup.whole_characters(F.col("kept"))).otherwise(F.col("kept").cast("string"))
+    mark = private("cut")
+    cut = suffix_dedup.remove_repeats(docs, rest=True, prefix=mark)
+    kept = F.col(f"{mark}kept")
+    text = F.when(F.col(f"{mark}n_removed") > 0, suffix_dedup.whole_characters(kept)).otherwise(kept.cast("string"))
     return cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

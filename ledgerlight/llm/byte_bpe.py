@@ -5,8 +5,8 @@ character a byte, the score of a piece is its negative rank, and nothing is norm
 then merging by lowest rank. Texts are cut by a pre-token pattern and each match is encoded alone.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; every other text, of any length, is encoded whole
-and block by block; repeated rows give repeated results; rows are neither merged nor reordered, and columns that are
-already there keep their values (the new names must be free).
+and block by block; repeated rows give repeated results; rows are neither merged nor reordered. Other columns keep their values, but
+one that has the name of a result (in any case) is replaced by it; the names of the results are parameters.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerlight.llm.common import slices
+from ledgerlight.llm.common import replaced, slices
 
 #: Texts that are held as Python objects at once, in bytes; longer ones are encoded in pieces of BLOCK_CHARS.
 SLICE_BYTES = 4 << 20
@@ -194,13 +194,6 @@ class Encoder:
         return list(map(b"".join, out))
 
 
-def _added(df: DataFrame, *fields: T.StructField) -> T.StructType:
-    clash = {f.name.lower() for f in fields} & {name.lower() for name in df.columns}
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    return T.StructType([*df.schema.fields, *fields])
-
-
 def _shared(df: DataFrame, vocabulary: Vocabulary):
     if len(vocabulary.model) > MAX_MODEL_BYTES:
         raise ValueError("the vocabulary is too large to broadcast")
@@ -221,10 +214,9 @@ def encode(
     checks in the same pass. No shuffle: rows stay in their partitions.
     """
     shared = _shared(df, vocabulary)
-    source = df if keep else df.drop(text)
-    fields = [T.StructField(count, T.LongType()), T.StructField(ids, T.BinaryType())]
-    schema = _added(source, *fields, *([T.StructField(decoded, T.BinaryType())] if decoded else []))
-    kept = source.columns
+    added = [T.StructField(count, T.LongType()), T.StructField(ids, T.BinaryType())] + ([T.StructField(decoded, T.BinaryType())] if decoded else [])
+    schema = replaced(df if keep else df.drop(text), added)
+    kept = schema.fieldNames()[:-len(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tokens = Encoder(shared.value), shared.value.tokens
@@ -242,9 +234,8 @@ def encode(
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded", keep: bool = True) -> DataFrame:
     """Add the bytes that the packed ids stand for. An id outside the vocabulary is an error."""
     shared = _shared(df, vocabulary)
-    source = df if keep else df.drop(ids)
-    schema = _added(source, T.StructField(out, T.BinaryType()))
-    kept = source.columns
+    schema = replaced(df if keep else df.drop(ids), [T.StructField(out, T.BinaryType())])
+    kept = schema.fieldNames()[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared.value.tokens

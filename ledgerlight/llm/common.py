@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerlight.session import checkpointed
 
-__all__ = ["binary_column", "buffers", "checkpointed", "packed", "private", "shuffle_partitions", "slices"]
+__all__ = ["binary_column", "buffers", "checkpointed", "packed", "private", "replaced", "shuffle_partitions", "slices"]
 
 
 def private(name: str) -> str:
@@ -19,6 +20,12 @@ def private(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
+def replaced(df: DataFrame, added: list[T.StructField]) -> T.StructType:
+    """The schema of ``df`` and the added fields; columns of the same names, in any case, are left out."""
+    names = {field.name.lower() for field in added}
+    return T.StructType([*(field for field in df.schema.fields if field.name.lower() not in names), *added])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

@@ -32,7 +32,7 @@ from ledgerlight.llm.common import buffers, private, slices
 MIN_WORDS = 5
 #: An item is found where 100 * edits <= EDIT_PERCENT * words.
 EDIT_PERCENT = 20
-TARGET_RECALL = 0.95
+TARGET_RECALL = 0.99
 MOST_REPETITIONS, TRIALS, SEED = 64, 400, 17
 #: Steps at which symbols are sampled lie below these, for items of at least so many words.
 REACH = {12: 10, 5: 4}

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.llm import wordvec as W
-from ledgerlight.llm.common import checkpointed, shuffle_partitions
+from ledgerlight.llm.common import checkpointed, replaced, shuffle_partitions
 from ledgerlight.llm.textslices import NO_KEY, Slice, columns_of, each_slice, rows_of, slices_of, split
 
 SIZE = 100
@@ -376,10 +376,13 @@ def whole_characters(kept: Column) -> Column:
     return decoded(kept)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, anchor: int = ANCHOR, rest: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, anchor: int = ANCHOR, rest: bool = False, prefix: str = "",
+) -> DataFrame:
     """key, n_bytes, n_removed, spans (start, length of each maximal removed run), kept (the remaining bytes) of every row.
 
-    With ``rest`` the other columns of the rows come first.
+    With ``rest`` the other columns of the rows come first; one that has the name of a result is replaced by it. ``prefix`` is put
+    before the names of the results.
     """
     if not 0 < anchor <= size or 2 * size - anchor > 255:
         raise ValueError("anchor must be at most size, and segments of 2 * size - anchor bytes at most 255")
@@ -387,14 +390,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     classes, content = _steps(slices, size, anchor)
     more = content.groupBy("bucket").applyInArrow(_repeat_spans(size), "slice long, spans binary")
     spans = classes.select("slice", "spans").unionByName(more)
-    others = [field for field in docs.schema if field.name != text] if rest else [T.StructField(key, T.LongType())]
     run = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
-    added = [
-        T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(run)),
-        T.StructField("kept", T.BinaryType()),
-    ]
-    if clash := {f.name.lower() for f in others} & {f.name for f in added}:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    kinds = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "spans": T.ArrayType(run), "kept": T.BinaryType()}
+    added = [T.StructField(prefix + name, kind) for name, kind in kinds.items()]
+    others = replaced(docs.drop(text), added).fields[:-len(added)] if rest else [T.StructField(key, T.LongType())]
 
     def cut(texts: pa.Table, covered: pa.Table) -> pa.Table:
         part = Slice.unpack(texts["packed"][0].as_buffer())

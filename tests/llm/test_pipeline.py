@@ -66,3 +66,8 @@ def test_each_stage_on_odd_rows(spark, name, stage):
     assert name == "byte_bpe" or out.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
     assert 1 <= out.count() <= len(odd)
     assert stage(spark, spark.createDataFrame([], schema), FOLDER).count() == 0
+    more = spark.createDataFrame([(*row, "own", 7, "k", True) for row in odd], f"{schema}, score string, predicted int, kept string, n_removed boolean")
+    wider = stage(spark, more, FOLDER)
+    assert wider.count() == out.count()
+    if name != "byte_bpe":
+        assert wider.columns == more.columns and {(r.score, r.predicted, r.kept, r.n_removed) for r in wider.collect()} == {("own", 7, "k", True)}
