@@ -11,7 +11,6 @@ from ledgerlight import constants as K
 from ledgerlight.functions.values import cik_key, group_name
 from ledgerlight.operators.quantiles import exact_median, five_numbers
 from ledgerlight.operators.silver import first_row
-from ledgerlight.plans.layers import latest_scored
 
 FIRST = ["cik", "period_end"]  # the stored order of gold and composite rows
 
