@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerlight.llm.common import replaced, slices
+from ledgerlight.llm.common import replaced, slices, tidy
 
 #: Texts that are held as Python objects at once, in bytes; longer ones are encoded in pieces of BLOCK_CHARS.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BLOCK_CHARS = 4 << 20
 #: Encoded words that a Python worker remembers; the memory is emptied when it is full.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: A rank file larger than this isn't broadcast.
 MAX_MODEL_BYTES = 64 << 20
 
@@ -228,7 +228,7 @@ def encode(
                     columns.append(pa.array([text_of(x, tokens) for x in out], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded", keep: bool = True) -> DataFrame:
@@ -244,4 +244,4 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
                 texts = [text_of(x.as_py(), tokens) for x in column]
                 yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), pa.array(texts, pa.binary())], [*kept, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)

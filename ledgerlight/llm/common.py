@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 
 from ledgerlight.session import checkpointed
 
-__all__ = ["binary_column", "buffers", "checkpointed", "packed", "private", "replaced", "shuffle_partitions", "slices"]
+__all__ = ["binary_column", "buffers", "checkpointed", "give_back", "packed", "private", "replaced", "shuffle_partitions", "slices", "tidy"]
 
 
 def private(name: str) -> str:
@@ -30,6 +32,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, and what they keep counts for the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over batches that gives its memory back at the end of the task."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            give_back()
+
+    return whole
+
+
 def binary_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A text or binary column as large binary, nulls as empty."""
     column = batch.column(name)

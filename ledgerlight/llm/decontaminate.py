@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.llm import wordvec as W
-from ledgerlight.llm.common import buffers, private, slices
+from ledgerlight.llm.common import buffers, private, slices, tidy
 
 MIN_WORDS = 5
 #: An item is found where 100 * edits <= EDIT_PERCENT * words.
@@ -281,7 +281,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                         pa.array([len(found.names[i]) for _, i, _, _ in hits], pa.int32()), pa.array([e for _, _, _, e in hits], pa.int64()),
                     ], schema.fieldNames())
 
-        out = out.unionByName(source.mapInArrow(run, schema))
+        out = out.unionByName(source.mapInArrow(tidy(run), schema))
     return out.withColumnsRenamed({"key": key, "item": item})
 
 
@@ -298,5 +298,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                     leaks = {t for t, _, _, _ in shared.value.matches(W.Words(*buffers(texts), lower=True))}
                     yield rows.select(kept).take(pa.array([i for i in range(rows.num_rows) if i not in leaks], pa.int64()))
 
-        docs = source.mapInArrow(run, docs.schema)
+        docs = source.mapInArrow(tidy(run), docs.schema)
     return docs

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import wordvec as W
-from ledgerlight.llm.common import checkpointed, packed, shuffle_partitions
+from ledgerlight.llm.common import checkpointed, packed, shuffle_partitions, tidy
 from ledgerlight.llm.components import components
 from ledgerlight.llm.textslices import NO_KEY, ROWS, Slice, arrays, each_slice, slices_of, split
 
@@ -95,7 +95,7 @@ def _count_requests(slices: DataFrame, buckets: int, window: int) -> DataFrame:
                 pa.array([*(rows[ends[b]:ends[b + 1]].astype(narrow).tobytes() for b in full), None], pa.binary()),
             ], ["bucket", "slice", "tokens", "rows"])
 
-    return slices.mapInArrow(run, "bucket int, slice long, tokens binary, rows binary")
+    return slices.mapInArrow(tidy(run), "bucket int, slice long, tokens binary, rows binary")
 
 
 def _shared_counts(table: pa.Table) -> pa.Table:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.llm import wordvec as W
-from ledgerlight.llm.common import checkpointed, replaced, shuffle_partitions
+from ledgerlight.llm.common import checkpointed, give_back, replaced, shuffle_partitions, tidy
 from ledgerlight.llm.textslices import NO_KEY, Slice, columns_of, each_slice, rows_of, slices_of, split
 
 SIZE = 100
@@ -105,7 +105,7 @@ def _send_segments(slices: DataFrame, buckets: int, size: int, anchor: int) -> D
                 pa.array([columns_of(out[ends[b]:ends[b + 1]]) for b in full], pa.binary()),
             ], ["bucket", "slice", "segments"])
 
-    return slices.mapInArrow(run, "bucket int, slice long, segments binary")
+    return slices.mapInArrow(tidy(run), "bucket int, slice long, segments binary")
 
 
 def _classes(table: pa.Table) -> pa.Table:
@@ -306,6 +306,8 @@ def _repeats(table: pa.Table, size: int):
         if len(start):
             place[by_place] = np.cumsum(np.concatenate([[True], (np.diff(key[by_place]) != 0) | (np.diff(start[by_place]) != 0)]))
         yield of[some], mine, array, start, *interval_tree(array, place, size)
+        del array
+        give_back()
 
 
 def _repeat_spans(size: int):
@@ -411,6 +413,8 @@ def remove_repeats(
             pa.array(first, pa.int32()), pa.StructArray.from_arrays([pa.array(begins - ends[row]), pa.array(stops - begins)], ["start", "length"])
         )
         columns = part.columns().select([f.name for f in others]).columns if rest else [pa.array(part.keys, mask=part.keys == NO_KEY)]
+        del change, gone, found, begin
+        give_back()
         texts_kept = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(part.keys), [None, pa.py_buffer(kept_ends.astype(np.int64).tobytes()), pa.py_buffer(kept.tobytes())]
         ).cast(pa.binary())

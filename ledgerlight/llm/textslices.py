@@ -17,9 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import binary_column, buffers, checkpointed
+from ledgerlight.llm.common import binary_column, buffers, checkpointed, tidy
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: A row's number is its slice's id times this plus its position; a slice's id is its partition times SLICES plus a counter.
 ROWS, SLICES = 1 << 24, 1 << 18
 #: Stands for a null key; it sorts before every other key.
@@ -113,7 +113,7 @@ def slices_of(docs: DataFrame, key: str = "doc_id", text: str = "text", size: in
         if held:
             yield flush()
 
-    return checkpointed(source.mapInArrow(run, "slice long, packed binary"))
+    return checkpointed(source.mapInArrow(tidy(run), "slice long, packed binary"))
 
 
 def each_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Slice]]:
