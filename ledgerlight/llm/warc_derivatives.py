@@ -7,6 +7,8 @@ digests, and carry digests of their own. Identifiers are derived from the conten
 Defined cases: a null url leaves the target out, a null html is an empty payload, a null key is empty in the identifier; repeated rows give
 repeated records with equal identifiers; an empty table gives none; other columns are ignored. Records that can't be read (no version line,
 wrong length) raise an error that names them. A page of any length is converted whole, in one pass over its markup.
+A head without end tag ends before the first text or tag that can't stand in it; other hidden elements without end tag hide nothing,
+but scripts, styles and comments hide the rest of the page.
 """
 
 from __future__ import annotations
@@ -34,10 +36,16 @@ BLOCKS = frozenset(
     "nav ol p pre section table tbody td tfoot th thead title tr ul".split()
 )
 
+#: Elements that can stand in a head: without content, and with content that isn't shown.
+HEAD_EMPTY = frozenset("base basefont bgsound link meta".split())
+HEAD_FULL = ("title", "script", "style", "noscript", "noframes", "template")
+#: Elements that take up the rest of the page where they aren't closed.
+UNBOUNDED = ("script", "style")
+
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|<[!?][^>]*+>", re.S)
 _TITLE = re.compile(r"<title\b[^>]*+>(.*?)</title\s*>", re.S | re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.S | re.I)
-_END = {name: re.compile(rf"</{name}\b[^>]*+>", re.I) for name in HIDDEN}
+_END = {name: re.compile(rf"</{name}\b[^>]*+>", re.I) for name in {*HIDDEN, *HEAD_FULL}}
 
 
 def digest(content: bytes) -> str:
@@ -71,18 +79,48 @@ def parse(content: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:length]
 
 
+class _Skipper:
+    """Ends of elements that aren't shown; no end tag is looked for again once a page has no more of them."""
+
+    def __init__(self, markup: str):
+        self.markup, self.missing = markup, set()
+
+    def element(self, name: str, at: int) -> int:
+        """Where the element whose tag ends at ``at`` ends; without an end tag only scripts and styles go on to the page's end."""
+        end = None if name in self.missing else _END[name].search(self.markup, at)
+        if end:
+            return end.end()
+        self.missing.add(name)
+        return len(self.markup) if name in UNBOUNDED else at
+
+    def head(self, at: int) -> int:
+        """Where a head ends: after its end tag, or before the first text or tag that can't stand in a head."""
+        while found := _MARKUP.search(self.markup, at):
+            name, closing = (found.group(2) or "").lower(), found.group(1)
+            if self.markup[at:found.start()].strip():
+                return at
+            if closing and name in ("head", "body", "html", "br"):
+                return found.end() if name == "head" else found.start()
+            if not closing and name in HEAD_FULL:
+                at = self.element(name, found.end())
+            elif closing or not name or name in HEAD_EMPTY or name == "head":
+                at = found.end()
+            else:
+                return found.start()
+        return at
+
+
 def visible_text(markup: str) -> str:
     """The text of a page: one line for each block, runs of white space as one space, empty lines left out."""
-    pieces, at = [], 0
+    pieces, at, skip = [], 0, _Skipper(markup)
     while found := _MARKUP.search(markup, at):
         pieces.append(markup[at:found.start()])
         at = found.end()
         name = (found.group(2) or "").lower()
         if name in BLOCKS:
             pieces.append("\0")
-        elif name in _END and not found.group(1):
-            end = _END[name].search(markup, at)
-            at = end.end() if end else len(markup)
+        elif name in HIDDEN and not found.group(1):
+            at = skip.head(at) if name == "head" else skip.element(name, at)
             pieces.append("\0")
     pieces.append(markup[at:])
     lines = (" ".join(entities.unescape(line).split()) for line in "".join(pieces).split("\0"))

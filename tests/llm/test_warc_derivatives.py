@@ -52,6 +52,16 @@ def test_visible_text(markup, text):
     assert X.visible_text(markup) == text
 
 
+@pytest.mark.parametrize("markup, text", [
+    ("<head><title>T</title><body>text", "text"), ("<html><head><meta a=b><link c><p>one<p>two", "one\ntwo"), ("<head><title>T</title>text<p>more", "text\nmore"),
+    ("<head><!-- c --><style>s{}</style><script>var x='</head>';</script> <title>T</title></head>x", "x"), ("<head><noscript>n</noscript><div>d</div>", "d"),
+    ("a<noscript>b", "a\nb"), ("a<template>b<p>c", "a\nb\nc"), ("<head><title>never closed<p>x", "never closed\nx"), ("<head></title></html>x", "x"),
+    ("<head><script>never closed<body>x", ""), ("<head>", ""), ("<noscript>" * 20000 + "x", "x"),
+])
+def test_pages_with_elements_that_are_not_closed(markup, text):
+    assert X.visible_text(markup) == text
+
+
 def test_long_markup_is_linear():
     assert X.visible_text("<" * 20000) == "<" * 20000
     assert X.visible_text("<p " + "a=\"b\" " * 20000) == X.visible_text("<p " + "a=\"b\" " * 20000)
