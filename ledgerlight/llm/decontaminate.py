@@ -4,14 +4,18 @@ Texts are sequences of lower-cased words. A random walk embeds a sequence: at ea
 next symbol, and a random bit of that word says whether the pointer moves on. Sequences that differ by few edits
 walk together again soon after each, so their embeddings differ in few places, and a few sampled symbols often agree. Each repetition has a walk and
 sample of its own and looks at its own part of the item; a document window that agrees with an item in all sampled symbols of one
-repetition is a candidate. The number of repetitions is raised until the share of edited items found, measured on random edits at the
-largest allowed distance, reaches the target. Candidates are verified by their exact edit distance.
+repetition is a candidate. For each length of items, the number of repetitions is raised until the share of edited items found, measured on
+random edits at the largest allowed distance, reaches the target. Candidates are verified by their exact edit distance.
+
+Items of lengths for which MOST_REPETITIONS don't reach the target are found without loss: such an item is cut into one piece more than
+edits are allowed, so every window within the distance holds a piece unchanged. Windows around equal pieces that have too few of
+the item's words are dropped before verification.
 
 The walks of all word positions of a document run side by side and stop as soon as the symbols so far fit no item, which
 gives the same candidates as full walks. Items are broadcast in blocks of at most BLOCK_BYTES; there is no shuffle.
 
-Defined cases: items of fewer than MIN_WORDS words (null and empty ones too) are too short to tell and are found nowhere; items with equal texts are
-each reported; a null or empty document has no windows; repeated rows are reported each; empty tables give an empty result; other columns are
+Defined cases: items of fewer than MIN_WORDS words allow no edit and are found word for word; null items and those without words are found
+nowhere; items with equal texts are each reported; a null or empty document has no windows; repeated rows are reported each; empty tables give an empty result; other columns are
 ignored. A document's words have to fit into memory.
 """
 
@@ -29,6 +33,7 @@ from pyspark.sql import types as T
 from ledgerlight.llm import wordvec as W
 from ledgerlight.llm.common import buffers, private, slices, tidy
 
+#: Shorter items are found word for word only.
 MIN_WORDS = 5
 #: An item is found where 100 * edits <= EDIT_PERCENT * words.
 EDIT_PERCENT = 20
@@ -42,6 +47,10 @@ MOVES = (0, 1, -1, 2, -2, 3, -3, 4, -4)
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
 TABLE = 1 << 18
+#: Words of the edited items of one length, beyond which fewer than TRIALS (but at least LEAST_TRIALS) are made.
+TRIAL_WORDS, LEAST_TRIALS = 1 << 18, 100
+#: Candidates that are looked at side by side.
+SIDE_BY_SIDE = 1 << 13
 
 
 def allowed(words: int) -> int:
@@ -125,8 +134,91 @@ def visited(names: np.ndarray, at: np.ndarray, stop: np.ndarray, seed: np.uint64
     return np.where(pointer < stop, seen, 0)
 
 
+def bands(lengths: np.ndarray) -> np.ndarray:
+    """Lengths that are measured together: each by itself below 64 words, then 16 to a doubling."""
+    shift = np.where(lengths < 64, 0, np.log2(np.maximum(lengths, 1)).astype(np.int64) - 4)
+    return lengths >> shift << shift
+
+
+def grams(names: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    key = W.mix(names[at])
+    for i in range(1, width):
+        key = W.mix(key * np.uint64(31) + names[at + i])
+    return key
+
+
+class Pieces:
+    """Items by consecutive pieces, one more than edits are allowed: a window within the distance holds one of them unchanged, moved
+    by no more words than edits are allowed."""
+
+    def __init__(self, items: np.ndarray, names: list[np.ndarray]):
+        cuts: dict[int, list[tuple[int, int]]] = {}
+        for item in items.tolist():
+            n, parts = len(names[item]), allowed(len(names[item])) + 1
+            for i in range(parts):
+                cuts.setdefault(n * (i + 1) // parts - n * i // parts, []).append((item, n * i // parts))
+        self.widths = []
+        for width, found in sorted(cuts.items()):
+            item, offset = (np.array(x, np.int64) for x in zip(*found))
+            keys = grams(np.concatenate([names[i][o:o + width] for i, o in found]), np.arange(len(found)) * width, width)
+            starts = np.zeros(TABLE, bool)
+            starts[(W.mix(np.array([names[i][o] for i, o in found], np.uint64)) & np.uint64(TABLE - 1)).astype(np.int64)] = True
+            order = np.argsort(keys, kind="stable")
+            self.widths.append((width, starts, keys[order], item[order], offset[order]))
+        self.lengths = np.array([len(n) for n in names], np.int64)
+        self.room = EDIT_PERCENT * self.lengths // 100
+        pairs = [self._pair(np.full(len(names[i]), i), names[i]) for i in items.tolist()]
+        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
+
+    @staticmethod
+    def _pair(items: np.ndarray, names: np.ndarray) -> np.ndarray:
+        return W.mix(names ^ W.mix(items.astype(np.uint64)))
+
+    def candidates(self, names: np.ndarray, stop: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item, begin of the window) of windows with a piece of the item and enough of its words."""
+        if not self.widths or len(names) == 0:
+            return
+        slot = (W.mix(names) & np.uint64(TABLE - 1)).astype(np.int64)
+        for width, starts, keys, items, offsets in self.widths:
+            at = np.flatnonzero(starts[slot])
+            at = at[at + width <= stop[at]]
+            got = grams(names, at, width)
+            low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
+            at, low, counts = at[high > low], low[high > low], (high - low)[high > low]
+            ends = np.cumsum(counts)
+            # some positions at a time, so that a common piece of many items doesn't make large arrays
+            cut = 0
+            while cut < len(at):
+                end = max(cut + 1, int(np.searchsorted(ends, (ends[cut - 1] if cut else 0) + SIDE_BY_SIDE, "right")))
+                some = counts[cut:end]
+                entry = np.repeat(low[cut:end] - (np.cumsum(some) - some), some) + np.arange(some.sum())
+                yield self._likely(names, stop, items[entry], np.repeat(at[cut:end], some), offsets[entry])
+                cut = end
+
+    def _likely(self, names: np.ndarray, stop: np.ndarray, items: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begins, length, room = at - offsets, self.lengths[items], self.room[items]
+        # where no edit is allowed the piece is the item, and one place in a text is enough
+        whole = np.flatnonzero(room == 0)
+        _, first = np.unique(np.stack([stop[at[whole]], items[whole]]), axis=1, return_index=True)
+        some = np.flatnonzero(room > 0)
+        present = np.zeros(len(some), np.int64)
+        mine, text, reach = items[some], stop[at[some]], length[some] + room[some]
+        for step in range(-int(room.max(initial=0)), int(reach.max(initial=0))):
+            place = begins[some] + step
+            safe = np.clip(place, 0, len(names) - 1)
+            inside = np.flatnonzero((place == safe) & (stop[safe] == text) & (step >= -room[some]) & (step < reach))
+            pair = self._pair(mine[inside], names[safe[inside]])
+            found = self.pairs[np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)] == pair
+            present[inside] += found
+        kept = np.concatenate([whole[first], some[present >= length[some] - room[some]]])
+        return items[kept], begins[kept]
+
+
 class Index:
-    """Repetitions over some items; ``keys`` are the items' own ids, ``names`` their words."""
+    """Repetitions over some items; ``keys`` are the items' own ids, ``names`` their words.
+
+    ``reached`` tells for each band of lengths the repetitions and the share of edited items that they find; 0 repetitions: found by pieces.
+    """
 
     def __init__(self, keys: list, names: list[np.ndarray]):
         self.keys, self.names = keys, names
@@ -134,27 +226,35 @@ class Index:
         self.flat = np.concatenate(names) if names else np.zeros(0, np.uint64)
         self.first = np.concatenate([[0], np.cumsum(lengths)])
         self.repetitions: list[Repetition] = []
-        most = np.inf
+        self.reached: dict[int, tuple[int, float]] = {}
+        most, exact = np.inf, [np.flatnonzero((lengths > 0) & (lengths < min(REACH)))]
         for least, reach in sorted(REACH.items(), reverse=True):
             mine = np.flatnonzero((lengths >= least) & (lengths < most))
             most = least
             if len(mine):
-                self._add(mine, lengths, reach)
+                exact.append(self._add(mine, lengths, reach))
+        self.pieces = Pieces(np.concatenate(exact), names)
         self.starts: np.ndarray = np.zeros(TABLE, np.uint64)
         for r, repetition in enumerate(self.repetitions):
             self.starts[repetition.tables[0]] |= np.uint64(1) << np.uint64(r % 64)
 
-    def _add(self, mine: np.ndarray, lengths: np.ndarray, reach: int) -> None:
-        """Repetitions for the items ``mine`` until enough edited items are found."""
+    def _add(self, mine: np.ndarray, lengths: np.ndarray, reach: int) -> np.ndarray:
+        """Repetitions for the items ``mine`` until enough edited items of each length are found; the items for which that fails."""
         rng = np.random.default_rng(SEED + reach)
-        edited = [(i, self._edited(self.names[i], rng)) for i in rng.choice(mine, TRIALS)]
-        flat = np.concatenate([e for _, e in edited])
-        ends = np.cumsum([len(e) for _, e in edited])
-        stop = np.repeat(ends, [len(e) for _, e in edited])
-        owner = np.repeat([i for i, _ in edited], [len(e) for _, e in edited])
-        trial = np.repeat(np.arange(TRIALS), [len(e) for _, e in edited])
-        found = np.zeros(TRIALS, bool)
+        band, of = np.unique(bands(lengths[mine]), return_inverse=True)
+        edited, item, kind = [], [], []
+        for b, length in enumerate(band.tolist()):
+            for i in rng.choice(np.flatnonzero(of == b), min(TRIALS, max(LEAST_TRIALS, TRIAL_WORDS // length))):
+                edited.append(self._edited(self.names[mine[i]], rng))
+                item.append(i)
+                kind.append(b)
+        item, kind, sizes = np.array(item), np.array(kind), np.array([len(e) for e in edited])
+        flat, trial = np.concatenate(edited), np.repeat(np.arange(len(edited)), sizes)
+        ends = np.cumsum(sizes)
+        place = np.arange(len(flat))
+        found, needed = np.zeros(len(edited), bool), np.zeros(len(band), np.int64)
         order = rng.permutation(MOST_REPETITIONS)
+        made = []
         for r in range(MOST_REPETITIONS):
             seed = np.uint64(rng.integers(1, 2**62))
             steps = (0, *sorted(rng.choice(np.arange(1, reach + 1), min(SAMPLES - 1, reach), replace=False).tolist()))
@@ -165,19 +265,30 @@ class Index:
             seen = np.stack([visited(self.flat, self.first[mine] + t, self.first[mine + 1], seed, steps) for t in tries])
             offsets = tries[seen.argmax(axis=0), np.arange(len(mine))]
             at = self.first[mine] + offsets
-            left, keys = walk(self.flat, at, self.first[mine + 1], seed, steps, None)
-            by_key = np.argsort(keys, kind="stable")
-            repetition = Repetition(seed, steps, mine[left][by_key], offsets[left][by_key], keys[by_key], self._tables(at, self.first[mine + 1], seed, steps))
-            self.repetitions.append(repetition)
-            if allowed(int(lengths[mine].min())) == 0 and allowed(int(lengths[mine].max())) == 0:
-                return
-            where, hits = walk(flat, np.arange(len(flat)), stop, seed, steps, repetition.tables)
-            for position, key in zip(where.tolist(), hits):
-                a, b = np.searchsorted(repetition.keys, [key], "left")[0], np.searchsorted(repetition.keys, [key], "right")[0]
-                if owner[position] in repetition.items[a:b]:
-                    found[trial[position]] = True
-            if found.mean() >= TARGET_RECALL:
-                return
+            # every walk ends within its item, so there is one key for each
+            _, keys = walk(self.flat, at, self.first[mine + 1], seed, steps, None)
+            made.append((seed, steps, offsets, keys))
+            # places of edited items that begin like their item's walk, no further away than edits move them
+            place = place[~(found | (needed > 0)[kind])[trial[place]]]
+            owner = item[trial[place]]
+            moved = np.abs(place - (ends - sizes)[trial[place]] - offsets[owner])
+            start = place[(flat[place] == self.flat[at[owner]]) & (moved <= EDIT_PERCENT * lengths[mine[owner]] // 100)]
+            left, got = walk(flat, start, ends[trial[start]], seed, steps, None)
+            hit = trial[start[left]]
+            found[hit[got == keys[item[hit]]]] = True
+            share = np.bincount(kind, weights=found) / np.bincount(kind)
+            needed[(needed == 0) & (share >= TARGET_RECALL)] = r + 1
+            if needed.all():
+                break
+        self.reached |= {length: (n, float(x) if n else 1.0) for length, n, x in zip(band.tolist(), needed.tolist(), share)}
+        for r, (seed, steps, offsets, keys) in enumerate(made):
+            some = np.flatnonzero(needed[of] > r)
+            if len(some) == 0:
+                break
+            by_key = some[np.argsort(keys[some], kind="stable")]
+            tables = self._tables(self.first[mine[some]] + offsets[some], self.first[mine[some] + 1], seed, steps)
+            self.repetitions.append(Repetition(seed, steps, mine[by_key], offsets[by_key], keys[by_key], tables))
+        return mine[needed[of] == 0]
 
     def _tables(self, at: np.ndarray, stop: np.ndarray, seed: np.uint64, steps: tuple[int, ...]) -> tuple[np.ndarray, ...]:
         out = []
@@ -211,6 +322,9 @@ class Index:
             entry = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
             items.append(repetition.items[entry])
             begins.append(np.repeat(at[left], counts) - repetition.offsets[entry])
+        for more, at in self.pieces.candidates(names, stop):
+            items.append(more)
+            begins.append(at)
         if not items:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(items), np.concatenate(begins)
@@ -253,7 +367,7 @@ def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") ->
         mine = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()  # at most about BLOCK_BYTES
         mine.sort(key=lambda row: (row["item"] is None, row["item"] if row["item"] is not None else 0, row["text"]))
         names = names_of([row["text"].encode() for row in mine])
-        kept = [i for i, n in enumerate(names) if len(n) >= MIN_WORDS]
+        kept = [i for i, n in enumerate(names) if len(n)]
         if kept:
             yield Index([mine[i]["item"] for i in kept], [names[i] for i in kept])
 

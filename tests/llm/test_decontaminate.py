@@ -86,6 +86,42 @@ def test_recall_at_the_largest_distance(spark, edited, monkeypatch):
     assert set(found(D.find_leaks(df, benchmark))) <= set(wanted)
 
 
+@pytest.mark.parametrize("length", [5, 6, 7, 9, 10, 14, 15, 16, 30, 100])
+def test_recall_of_each_length(length):
+    random.seed(length)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [random.choices(vocabulary, k=length) for _ in range(200)]
+    texts = []
+    for words in items:
+        parts = [[w] for w in words]
+        for at in random.sample(range(length), D.allowed(length)):
+            parts[at] = random.choice([["other"], [], [parts[at][0], "more"]])
+        texts.append(" ".join(random.choices(vocabulary, k=9) + [w for p in parts for w in p] + random.choices(vocabulary, k=9)).encode())
+    index = D.Index(list(range(200)), D.names_of([" ".join(words).encode() for words in items]))
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    hits = {(t, i) for t, i, _, _ in index.matches(D.W.Words(np.frombuffer(b"".join(texts), np.uint8), ends, lower=True))}
+    share = sum((i, i) in hits for i in range(200)) / 200
+    repetitions, reached = index.reached[int(D.bands(np.array([length]))[0])]
+    assert reached >= D.TARGET_RECALL and (share == 1 if repetitions == 0 else share >= 0.96)
+
+
+def test_short_items_in_every_edit_and_word_for_word(spark):
+    items = [(1, "a b c d e"), (2, "one two three"), (3, "single"), (4, "... ?"), (5, "a a a a a a")]
+    windows = ["x b c d e", "b c d e", "a x c d e", "a b c d x", "a b c x d e", "b a c d e", "a a x a a a", "a b a b a b", "x one Two three y", "one two x three", "SINGLE", ""]
+    docs = [(i, f"p q {window} r s") for i, window in enumerate(windows)]
+    names = D.names_of([lower(t) for _, t in items])
+    wanted = []
+    for key, text in docs:
+        for (item, _), name in zip(items, names):
+            distance = plain_distance(name.tolist(), D.names_of([lower(text)])[0].tolist())
+            if len(name) and distance <= D.allowed(len(name)):
+                wanted.append((key, item, distance))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = found(D.find_leaks(df, benchmark))
+    assert got == sorted(wanted) and {i for _, i, _ in got} >= {1, 2, 3, 5}
+
+
 def test_nulls_empty_tables_and_repeated_rows(spark):
     text = "one two three four five six seven eight nine ten eleven twelve thirteen"
     items = spark.createDataFrame([(1, text), (2, text), (3, "a b c d e"), (4, None), (None, text.upper())], "item_id long, text string")
