@@ -2,11 +2,14 @@
 
 1. Every string of ``size`` bytes has an anchor, the leftmost of the smallest hashes of the short windows in it. Equal strings have
    equal anchors at equal offsets. Neighbouring strings with one anchor form a segment; segments go to the bucket of their anchor's hash.
+   Of equal segments of a slice only the first is sent; the others are known to repeat it.
 2. Segments with equal content (64 bits of content hash besides the anchor) are one class; its first occurrence stands for it.
 3. Where an anchor has several classes, the content of these first occurrences is fetched, and an enhanced suffix array of the
    segments is built: suffixes sorted by doubled ranks, common prefixes read from the ranks. Its interval tree is scanned with a stack; intervals
    whose suffixes differ to the left (or begin a segment) are maximal repeat groups, with all their occurrences. A suffix repeats the
-   smallest occurrence of the deepest interval in which an earlier one exists.
+   smallest occurrence of the deepest interval in which an earlier one exists. Where an anchor has more than HOT_CLASSES classes, the
+   strings of ``size`` bytes in their first occurrences are named by hash instead, and each name's places go to the bucket of that name,
+   the smallest one of each slice only: the places after the smallest of all repeat it. So no task holds the content of a hot anchor.
 4. The covered bytes of both steps are sent to the slices that hold the texts, joined there and removed.
 
 Order: smaller key, then earlier start. Defined cases: a null or empty text has no bytes and nothing to remove; texts shorter than
@@ -21,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,12 +39,37 @@ ANCHOR = 32
 CHUNK = 1 << 20
 #: Bytes of segments for which one suffix array is built; anchors are never split.
 ARRAY_BYTES = 1 << 21
+#: Classes of one anchor beyond which their strings are dealt out one by one.
+HOT_CLASSES = 1 << 13
+#: In the place of a bucket: the strings of the segment are wanted. Segments whose strings are named side by side.
+BY_STRING, SIDE_BY_SIDE = 0xFFFFFFFF, 1 << 12
 
 SEGMENT = np.dtype([("anchor", "<u4"), ("name", "<u8"), ("key", "<i8"), ("start", "<u4"), ("row", "<u4"), ("length", "u1")])
 SPAN = np.dtype([("row", "<u4"), ("start", "<u4"), ("length", "u1")])
 FETCH = np.dtype([("row", "<u4"), ("start", "<u4"), ("length", "u1"), ("anchor", "<u4"), ("bucket", "<u4")])
 
 
+STRING = np.dtype([("anchor", "<u4"), ("name", "<u8"), ("key", "<i8"), ("start", "<u4"), ("row", "<u4")])
+
+
+def later(rows: np.ndarray) -> np.ndarray:
+    """Which rows have one of the same anchor and name at a smaller place (key, start)."""
+    out = np.zeros(len(rows), bool)
+    if len(rows):
+        order = np.lexsort((rows["start"], rows["key"], rows["name"], rows["anchor"]))
+        some = rows[order]
+        new = np.concatenate([[True], (some["anchor"][1:] != some["anchor"][:-1]) | (some["name"][1:] != some["name"][:-1])])
+        first = some[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        out[order] = (some["key"] != first["key"]) | (some["start"] != first["start"])
+    return out
+
+
+def spans_of(rows: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    out = np.zeros(len(rows), SPAN)
+    out["row"], out["start"], out["length"] = rows["row"], rows["start"], length
+    return out
+
+
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
     """The smallest of keys[i:i + width], for every i that has so many."""
     reach, now = 1, keys
@@ -95,21 +124,42 @@ def _send_segments(slices: DataFrame, buckets: int, size: int, anchor: int) -> D
             if not found:
                 continue
             grams, names, row, start, length = (np.concatenate(x) for x in zip(*found))
+            out = np.zeros(len(grams), SEGMENT)
+            out["anchor"], out["name"], out["row"] = grams & np.uint64(0xFFFFFFFF), names, row
+            out["start"], out["length"], out["key"] = start, length, part.keys[row]
+            # only names that come twice can repeat within the slice
+            by_name = np.sort(names)
+            twice = by_name[1:][by_name[1:] == by_name[:-1]]
+            some = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, names), len(twice) - 1)] == names) if len(twice) else np.zeros(0, np.int64)
+            known = np.zeros(len(out), bool)
+            known[some] = later(out[some])
+            local = out[known]
+            out, grams = out[~known], grams[~known]
             order, ends = split(grams, ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), buckets)
-            out = np.zeros(len(order), SEGMENT)
-            out["anchor"], out["name"], out["row"] = grams[order] & np.uint64(0xFFFFFFFF), names[order], row[order]
-            out["start"], out["length"], out["key"] = start[order], length[order], part.keys[row[order]]
+            out = out[order]
             full = np.flatnonzero(np.diff(ends))
             yield pa.RecordBatch.from_arrays([
-                pa.array(full, pa.int32()), pa.array([name] * len(full), pa.int64()),
-                pa.array([columns_of(out[ends[b]:ends[b + 1]]) for b in full], pa.binary()),
-            ], ["bucket", "slice", "segments"])
+                pa.array([*full, name % buckets], pa.int32()), pa.array([name] * (len(full) + 1), pa.int64()),
+                pa.array([*(columns_of(out[ends[b]:ends[b + 1]]) for b in full), None], pa.binary()),
+                pa.array([None] * len(full) + [columns_of(spans_of(local, local["length"]))], pa.binary()),
+            ], ["bucket", "slice", "segments", "spans"])
+
+    return slices.mapInArrow(tidy(run), "bucket int, slice long, segments binary, spans binary")
+
 
-    return slices.mapInArrow(tidy(run), "bucket int, slice long, segments binary")
+def _classes_of(hot: int | None):
+    """``_classes`` with the most classes of an anchor whose content goes to one bucket, None for any number."""
+    return lambda table: _classes(table, hot)
 
 
-def _classes(table: pa.Table) -> pa.Table:
+def _classes(table: pa.Table, hot: int | None) -> pa.Table:
     """For each slice of a bucket: spans that repeat an earlier equal segment, and first occurrences whose content is needed."""
+    local = table.filter(pc.is_valid(table["spans"]))
+    local = pa.table({"slice": local["slice"], "spans": local["spans"], "fetch": pa.array([columns_of(np.zeros(0, FETCH))] * len(local), pa.binary())})
+    bucket = table["bucket"][0].as_py()
+    table = table.filter(pc.is_valid(table["segments"]))
+    if len(table) == 0:
+        return local
     names = table["slice"].to_numpy()
     parts = [rows_of(x.as_buffer(), SEGMENT) for x in table["segments"]]
     rows = np.concatenate(parts)
@@ -122,18 +172,19 @@ def _classes(table: pa.Table) -> pa.Table:
     rows, of = rows[order], of[order]
     order = np.lexsort((rows["start"], rows["key"], rows["name"], rows["anchor"]))
     rows, of = rows[order], of[order]
-    spans = fetch = np.zeros(0, bool)
+    spans = fetch = apart = np.zeros(0, bool)
     if len(rows):
         new_anchor = np.concatenate([[True], rows["anchor"][1:] != rows["anchor"][:-1]])
         new_class = new_anchor | np.concatenate([[True], rows["name"][1:] != rows["name"][:-1]])
         first = np.flatnonzero(new_class)[np.cumsum(new_class) - 1]
         spans = (rows["key"] != rows["key"][first]) | (rows["start"] != rows["start"][first])
         of_anchor = np.cumsum(new_anchor) - 1
-        fetch = new_class & (np.bincount(of_anchor, weights=new_class)[of_anchor] > 1)
-    bucket = table["bucket"][0].as_py()
+        several = np.bincount(of_anchor, weights=new_class)[of_anchor]
+        fetch = new_class & (several > 1)
+        apart = several > (np.inf if hot is None else hot)
     out = {"slice": [], "spans": [], "fetch": []}
     by_slice = np.argsort(of, kind="stable")
-    rows, spans, fetch = rows[by_slice], spans[by_slice], fetch[by_slice]
+    rows, spans, fetch, apart = rows[by_slice], spans[by_slice], fetch[by_slice], apart[by_slice]
     borders = np.searchsorted(of[by_slice], np.arange(len(names) + 1))
     for name, begin, end in zip(names, borders[:-1], borders[1:]):
         covered, needed = rows[begin:end][spans[begin:end]], rows[begin:end][fetch[begin:end]]
@@ -142,42 +193,81 @@ def _classes(table: pa.Table) -> pa.Table:
         wanted = np.zeros(len(needed), FETCH)
         for field in ("row", "start", "length", "anchor"):
             wanted[field] = needed[field]
-        wanted["bucket"] = bucket
-        repeated = np.zeros(len(covered), SPAN)
-        for field in SPAN.names:
-            repeated[field] = covered[field]
+        wanted["bucket"] = np.where(apart[begin:end][fetch[begin:end]], BY_STRING, bucket)
         out["slice"].append(name)
-        out["spans"].append(columns_of(repeated))
+        out["spans"].append(columns_of(spans_of(covered, covered["length"])))
         out["fetch"].append(columns_of(wanted))
-    return pa.table({"slice": pa.array(out["slice"], pa.int64()), "spans": pa.array(out["spans"], pa.binary()), "fetch": pa.array(out["fetch"], pa.binary())})
+    found = pa.table({"slice": pa.array(out["slice"], pa.int64()), "spans": pa.array(out["spans"], pa.binary()), "fetch": pa.array(out["fetch"], pa.binary())})
+    return pa.concat_tables([local, found])
 
 
 CONTENT = np.dtype([("anchor", "<u4"), ("key", "<i8"), ("start", "<u4"), ("row", "<u4"), ("length", "u1")])
 
 
-def _fetch(texts: pa.Table, wanted: pa.Table) -> pa.Table:
-    """The content of the wanted segments of one slice, by bucket."""
-    out = {"bucket": [], "slice": [], "segments": [], "content": []}
-    if len(texts) and len(wanted):
-        rows = np.concatenate([rows_of(x.as_buffer(), FETCH) for x in wanted["fetch"]])
-        part = Slice.unpack(texts["packed"][0].as_buffer())
-        rows = rows[np.lexsort((rows["start"], rows["row"], rows["anchor"], rows["bucket"]))]
-        at = part.ends[rows["row"]] + rows["start"]
-        borders = np.append(np.flatnonzero(np.concatenate([[True], rows["bucket"][1:] != rows["bucket"][:-1]])), len(rows)) if len(rows) else []
-        for begin, end in zip(borders[:-1], borders[1:]):
-            some = rows[begin:end]
-            about = np.zeros(len(some), CONTENT)
-            for field in ("anchor", "start", "row", "length"):
-                about[field] = some[field]
-            about["key"] = part.keys[some["row"]]
-            out["bucket"].append(int(some["bucket"][0]))
-            out["slice"].append(texts["slice"][0].as_py())
-            out["segments"].append(columns_of(about))
-            out["content"].append(b"".join(part.data[a:a + n].tobytes() for a, n in zip(at[begin:end], some["length"].tolist())))
-    return pa.table({
-        "bucket": pa.array(out["bucket"], pa.int32()), "slice": pa.array(out["slice"], pa.int64()),
-        "segments": pa.array(out["segments"], pa.binary()), "content": pa.array(out["content"], pa.binary()),
-    })
+def strings(part: Slice, rows: np.ndarray, size: int) -> np.ndarray:
+    """All strings of ``size`` bytes in the segments, with their places."""
+    powers = W._powers()[1]
+    out = [np.zeros(0, STRING)]
+    for i in range(0, len(rows), SIDE_BY_SIDE):
+        some = rows[i:i + SIDE_BY_SIDE]
+        lengths = some["length"].astype(np.int64)
+        begins = np.cumsum(lengths) - lengths
+        sums = W.prefix_sums(part.data[np.repeat(part.ends[some["row"]] + some["start"] - begins, lengths) + np.arange(lengths.sum())])
+        counts = lengths - size + 1
+        offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.repeat(begins, counts) + offset
+        found = np.zeros(len(at), STRING)
+        found["name"] = W.mix((sums[at + size] - sums[at]) * powers[at])
+        found["anchor"], found["row"], found["start"] = np.repeat(some["anchor"], counts), np.repeat(some["row"], counts), np.repeat(some["start"], counts) + offset
+        found["key"] = part.keys[found["row"]]
+        out.append(found)
+    return np.concatenate(out)
+
+
+ANSWER = "bucket int, slice long, segments binary, content binary, strings binary, spans binary"
+
+
+def _fetch_of(size: int, buckets: int):
+    def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
+        """By bucket, the content of the wanted segments of one slice, or the names and places of their strings."""
+        out = {"bucket": [], "segments": [], "content": [], "strings": [], "spans": []}
+
+        def add(bucket: int, segments: bytes | None = None, content: bytes | None = None, strings: bytes | None = None, spans: bytes | None = None) -> None:
+            for name, value in zip(out, (bucket, segments, content, strings, spans)):
+                out[name].append(value)
+
+        if len(texts) and len(wanted):
+            rows = np.concatenate([rows_of(x.as_buffer(), FETCH) for x in wanted["fetch"]])
+            part = Slice.unpack(texts["packed"][0].as_buffer())
+            rows = rows[np.lexsort((rows["start"], rows["row"], rows["anchor"], rows["bucket"]))]
+            apart = int(np.searchsorted(rows["bucket"], BY_STRING))
+            if apart < len(rows):
+                named = strings(part, rows[apart:], size)
+                rows = rows[:apart]
+                known = later(named)
+                add(texts["slice"][0].as_py() % buckets, spans=columns_of(spans_of(named[known], size)))
+                named = named[~known]
+                order, ends = split(named, (W.mix(named["name"]) % np.uint64(buckets)).astype(np.int32), buckets)
+                named = named[order]
+                for b in np.flatnonzero(np.diff(ends)).tolist():
+                    add(b, strings=columns_of(named[ends[b]:ends[b + 1]]))
+            at = part.ends[rows["row"]] + rows["start"]
+            borders = np.append(np.flatnonzero(np.concatenate([[True], rows["bucket"][1:] != rows["bucket"][:-1]])), len(rows)) if len(rows) else []
+            for begin, end in zip(borders[:-1], borders[1:]):
+                some = rows[begin:end]
+                about = np.zeros(len(some), CONTENT)
+                for field in ("anchor", "start", "row", "length"):
+                    about[field] = some[field]
+                about["key"] = part.keys[some["row"]]
+                content = b"".join(part.data[a:a + n].tobytes() for a, n in zip(at[begin:end], some["length"].tolist()))
+                add(int(some["bucket"][0]), columns_of(about), content)
+        slices = [texts["slice"][0].as_py()] * len(out["bucket"]) if len(texts) else []
+        return pa.table({
+            "bucket": pa.array(out["bucket"], pa.int32()), "slice": pa.array(slices, pa.int64()),
+            **{name: pa.array(out[name], pa.binary()) for name in ("segments", "content", "strings", "spans")},
+        })
+
+    return run
 
 
 class SuffixArray:
@@ -280,6 +370,9 @@ def interval_tree(array: SuffixArray, place: np.ndarray, size: int) -> tuple[np.
 
 def _repeats(table: pa.Table, size: int):
     """Suffix arrays of a bucket, some anchors at a time: (slice of each segment, segments, array, shared lengths, groups)."""
+    table = table.filter(pc.is_valid(table["segments"]))
+    if len(table) == 0:
+        return
     parts = [rows_of(x.as_buffer(), CONTENT) for x in table["segments"]]
     rows = np.concatenate(parts)
     of = np.repeat(table["slice"].to_numpy(), [len(p) for p in parts])
@@ -320,6 +413,16 @@ def _repeat_spans(size: int):
             names = of[array.segment[hit]]
             for name in np.unique(names):
                 found.setdefault(int(name), []).append(spans[names == name])
+        named = table.filter(pc.is_valid(table["strings"]))
+        if len(named):
+            parts = [rows_of(x.as_buffer(), STRING) for x in named["strings"]]
+            repeated = np.split(later(np.concatenate(parts)), np.cumsum([len(p) for p in parts])[:-1])
+            for name, part, known in zip(named["slice"].to_pylist(), parts, repeated):
+                if known.any():
+                    found.setdefault(name, []).append(spans_of(part[known], size))
+        local = table.filter(pc.is_valid(table["spans"]))
+        for name, spans in zip(local["slice"].to_pylist(), local["spans"]):
+            found.setdefault(name, []).append(rows_of(spans.as_buffer(), SPAN))
         return pa.table({
             "slice": pa.array(list(found), pa.int64()), "spans": pa.array([columns_of(np.concatenate(x)) for x in found.values()], pa.binary()),
         })
@@ -346,13 +449,13 @@ def _repeat_groups(size: int):
     return run
 
 
-def _steps(slices: DataFrame, size: int, anchor: int) -> tuple[DataFrame, DataFrame]:
-    """(spans of repeated classes with what to fetch, content of the classes that share an anchor)."""
+def _steps(slices: DataFrame, size: int, anchor: int, hot: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(spans of repeated classes with what to fetch, content of the classes that share an anchor, or strings where they are more than ``hot``)."""
     buckets = 4 * shuffle_partitions(slices.sparkSession)
     sent = _send_segments(slices, buckets, size, anchor)
-    classes = checkpointed(sent.groupBy("bucket").applyInArrow(_classes, "slice long, spans binary, fetch binary"))
+    classes = checkpointed(sent.groupBy("bucket").applyInArrow(_classes_of(hot), "slice long, spans binary, fetch binary"))
     content = slices.groupBy("slice").cogroup(classes.select("slice", "fetch").groupBy("slice")).applyInArrow(
-        _fetch, "bucket int, slice long, segments binary, content binary"
+        _fetch_of(size, buckets), ANSWER
     )
     return classes, content
 
@@ -389,7 +492,7 @@ def remove_repeats(
     if not 0 < anchor <= size or 2 * size - anchor > 255:
         raise ValueError("anchor must be at most size, and segments of 2 * size - anchor bytes at most 255")
     slices = slices_of(docs, key, text, level=3, rest=rest)
-    classes, content = _steps(slices, size, anchor)
+    classes, content = _steps(slices, size, anchor, HOT_CLASSES)
     more = content.groupBy("bucket").applyInArrow(_repeat_spans(size), "slice long, spans binary")
     spans = classes.select("slice", "spans").unionByName(more)
     run = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])

@@ -75,6 +75,31 @@ def test_random_texts(spark, monkeypatch, seed, size, anchor, chunk):
     assert result(S.remove_repeats(df, size=size, anchor=anchor)) == wanted
 
 
+@pytest.mark.parametrize("seed, size, anchor", [(5, 20, 6), (6, 100, 32)])
+def test_hot_anchors_dealt_by_string(spark, monkeypatch, seed, size, anchor):
+    monkeypatch.setattr(S, "HOT_CLASSES", 2)
+    rows = [(i, t) for i, (_, t) in enumerate(made(90, seed, size))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = expected([(k, t.encode()) for k, t in rows], size)
+    assert sum(r[2] for r in wanted) > 0 and result(S.remove_repeats(df, size=size, anchor=anchor)) == wanted
+
+
+def test_messages_dont_grow_with_copies_and_hot_anchors_are_split(spark):
+    random.seed(8)
+    text = lambda k: "".join(random.choices("abcdefgh", k=k))
+    one, shared = text(1000), text(150)
+    sent = {}
+    for copies in (1, 40):
+        slices = S.slices_of(spark.createDataFrame([(i, one) for i in range(copies)], "doc_id long, text string").coalesce(1))
+        packed = [r.segments for r in S._send_segments(slices, 4, 100, 32).where("segments IS NOT NULL").collect()]
+        sent[copies] = sum(len(S.rows_of(bytes(x), S.SEGMENT)) for x in packed)
+    assert sent[1] == sent[40]
+    slices = S.slices_of(spark.createDataFrame([(i, text(200) + shared + text(200)) for i in range(60)], "doc_id long, text string").coalesce(1))
+    found = S._steps(slices, 100, 32, 20)[1].collect()
+    whole = [np.unique(S.rows_of(bytes(r.segments), S.CONTENT)["anchor"], return_counts=True)[1].max() for r in found if r.segments is not None]
+    assert max(whole, default=0) <= 20 and len({r.bucket for r in found if r.strings is not None}) > 3
+
+
 def test_nulls_empty_tables_repeated_rows_and_other_columns(spark):
     schema = "doc_id long, text string, lang string, slice int"
     assert S.remove_repeats(spark.createDataFrame([], schema), rest=True).collect() == []
