@@ -27,12 +27,16 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes that repeat an earlier string of 100 bytes are cut out; what is left of a character that was cut goes too."""
+    """Bytes that repeat an earlier string of 100 bytes are cut out; what is left of a character that was cut goes too.
+
+    Rows from which nothing is cut stay as they are.
+    """
     mark = private("cut")
-    cut = suffix_dedup.remove_repeats(docs, rest=True, prefix=mark)
-    kept = F.col(f"{mark}kept")
-    text = F.when(F.col(f"{mark}n_removed") > 0, suffix_dedup.whole_characters(kept)).otherwise(kept.cast("string"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    cut = suffix_dedup.remove_repeats(docs.withColumn(f"{mark}null", F.col("text").isNull()), rest=True, prefix=mark)
+    kept, changed = F.col(f"{mark}kept"), F.col(f"{mark}n_removed") > 0
+    text = F.when(changed, suffix_dedup.whole_characters(kept)).when(~F.col(f"{mark}null"), kept.cast("string"))
+    n_chars = F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.withColumn("text", text).withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

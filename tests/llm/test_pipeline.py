@@ -57,6 +57,16 @@ def test_stages_equal_direct_versions(spark, reference):
     assert len(final) == clean.count()
 
 
+def test_rows_without_repeats_stay_as_they_are(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    long = " ".join(f"word{i}" for i in range(100))
+    odd = [(1, None, None, None, None), (None, None, "en", "x", 4), (2, "", "en", "x", 0), (3, "é b", "en", None, 77), (4, long, "en", "x", None), (5, long + "é", "en", "x", 1)]
+    out = corpus_pipeline.remove_repeated_passages(spark, spark.createDataFrame(odd, schema), FOLDER)
+    assert rows(out) == sorted([*odd[:-1], (5, "é", "en", "x", 1)], key=str)
+    last = corpus_pipeline.remove_repeated_passages(spark, spark.createDataFrame([odd[4], (5, long + "éa", "en", "x", 9)], schema), FOLDER)
+    assert rows(last) == sorted([odd[4], (5, "éa", "en", "x", 2)], key=str)
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_each_stage_on_odd_rows(spark, name, stage):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
