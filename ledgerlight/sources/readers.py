@@ -62,12 +62,15 @@ def list_filing_text(spark: SparkSession, path: str, packed: bool = False, patte
     return read_filing_text(spark, path, packed, pattern).drop("text")
 
 
-def read_chosen(spark: SparkSession, chosen: DataFrame, max_files: int = 100_000) -> DataFrame:
-    """The texts of chosen objects, and of no other: the first ``max_files`` in name order, one run's share.
+def read_chosen(spark: SparkSession, chosen: DataFrame, max_files: int | None = None) -> DataFrame:
+    """The texts of chosen objects, all of them and no other; more than ``max_files``, where a caller names it, are refused.
 
     The names become the scan's list of files, which Spark keeps on the driver for any scan.
     """
-    names = [row.object_name for row in chosen.select("object_name").orderBy("object_name").limit(max_files).collect()]
+    listed = chosen.select("object_name").orderBy("object_name")
+    names = [row.object_name for row in (listed if max_files is None else listed.limit(max_files + 1)).collect()]
+    if max_files is not None and len(names) > max_files:
+        raise ValueError(f"more than {max_files} objects are chosen; the first beyond them is {names[-1]}")
     if names:
         return read_filing_text(spark, names)
     return parse_object_name(spark.createDataFrame([], "object_name STRING, text STRING"))

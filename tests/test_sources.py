@@ -1,5 +1,6 @@
 import datetime
 import hashlib
+import inspect
 import os
 
 import pytest
@@ -226,6 +227,16 @@ def test_runs_of_text_features_stand_side_by_side(spark, tmp_path):
     assert len(os.listdir(path)) >= 2
 
 
+def test_chosen_objects_are_read_whole_or_refused(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"CIK{i}_acc{i}_mda.txt").write_text(f"text {i}")
+    listed = RD.list_filing_text(spark, str(tmp_path))
+    assert inspect.signature(RD.read_chosen).parameters["max_files"].default is None
+    assert RD.read_chosen(spark, listed).count() == RD.read_chosen(spark, listed, max_files=3).count() == 3
+    with pytest.raises(ValueError, match="more than 2 objects"):
+        RD.read_chosen(spark, listed, max_files=2)
+
+
 def test_choices_are_made_on_names_alone(spark, tmp_path):
     """Nothing below an anti join, and nothing in a landing join, holds a text."""
     documents = spark.createDataFrame([("ingestion_date=2024-01-01/CIK1_a_mda.txt", "words")], "object_name STRING, text STRING")
