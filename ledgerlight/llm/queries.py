@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import (
-    byte_bpe, chat_format, decontaminate, jaccard_join, language_model, quality_rank, quality_rules, sharding, suffix_dedup, textstats,
-    warc_derivatives,
+    byte_bpe, chat_format, decontaminate, jaccard_join, language_model, merkle_manifest, quality_rank, quality_rules, sharding, suffix_dedup,
+    textstats, warc_derivatives,
 )
 from ledgerlight.llm.textslices import NO_KEY
 
@@ -153,3 +153,70 @@ def lm_training(keys: np.ndarray) -> np.ndarray:
 @query("op10_lm_scoring")
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_texts(table(spark, folder, "documents"), lm_training)
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a short ASCII text, in SQL, one bit at a time."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"  # the reversed polynomial 0xEDB88320
+    byte = "xor(a, b)"
+    bits = f"list_reduce([CAST(0 AS UBIGINT) FOR i IN range(8)], lambda c, i: {step}, {byte})"
+    codes = f"[CAST(ord({text}[i]) AS UBIGINT) FOR i IN range(1, length({text}) + 1)]"
+    return f"xor(list_reduce({codes}, lambda a, b: {bits}, CAST(4294967295 AS UBIGINT)), 4294967295)"
+
+
+def merkle_sql(levels: int = 5, top_levels: int = 4) -> str:
+    """Trees of up to 16 ** levels leaves and 16 ** top_levels sources."""
+    def climb(name: str, levels: int) -> str:
+        """Levels of all trees: tree, place, digest, n; and for each leaf the path up, with the siblings taken so far."""
+        out = []
+        for i in range(levels):
+            out.append(f"""{name}{i + 1} AS (
+        SELECT tree, place // 16 AS place, sha256(string_agg(digest, '' ORDER BY place)) AS digest, (n + 15) // 16 AS n FROM {name}{i} WHERE n > 1 GROUP BY tree, place // 16, n
+        UNION ALL SELECT * FROM {name}{i} WHERE n = 1)""")
+            out.append(f"""{name}_runs{i} AS MATERIALIZED (
+        SELECT tree, place // 16 AS run, string_agg(digest, '' ORDER BY place) AS digests FROM {name}{i} WHERE n > 1 GROUP BY tree, place // 16)""")
+        return ", ".join(out)
+
+    def walk(name: str, start: str, levels: int) -> str:
+        out = [f"{name}_w0 AS ({start})"]
+        for i in range(levels):
+            left, right = "64 * (place % 16)", "64 * (place % 16) + 65"
+            out.append(f"""{name}_w{i + 1} AS (
+        SELECT w.* EXCLUDE (place, n, proof, folded, digests, run, rtree), CASE WHEN n > 1 THEN place // 16 ELSE place END AS place, (n + 15) // 16 AS n,
+            CASE WHEN n > 1 THEN proof || left(digests, {left}) || substr(digests, {right}) ELSE proof END AS proof,
+            CASE WHEN n > 1 THEN sha256(left(digests, {left}) || folded || substr(digests, {right})) ELSE folded END AS folded
+        FROM (SELECT * FROM {name}_w{i} LEFT JOIN (SELECT tree AS rtree, run, digests FROM {name}_runs{i}) ON rtree = tree AND run = place // 16) w)""")
+        return ", ".join(out)
+
+    fields = lambda text: "sha256(" + " || ".join(
+        f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')" for value in ("doc_id", "source", "lang", "n_chars", text)
+    ) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = crc32_sql("CAST(doc_id AS VARCHAR)")
+    return f"""
+    WITH leaves AS MATERIALIZED (
+        SELECT doc_id, source, {fields("text")} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {fields(lowered)} ELSE {fields("text")} END AS shown FROM documents
+    ), s0 AS MATERIALIZED (
+        SELECT doc_id, leaf, shown, leaf AS digest, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+            row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM leaves
+    ), b0 AS (SELECT tree, place, digest, n FROM s0), {climb("b", levels)},
+    t0 AS MATERIALIZED (SELECT -1 AS tree, tree AS place, digest, count(*) OVER () AS n FROM b{levels}), {climb("t", top_levels)},
+    {walk("b", "SELECT doc_id, leaf, tree, place, n, '' AS proof, shown AS folded FROM s0", levels)},
+    {walk("t", f"SELECT doc_id, leaf, -1 AS tree, w.tree AS place, t0.n, proof, folded, digest AS subroot FROM b_w{levels} w JOIN t0 ON t0.place = w.tree", top_levels)}
+    SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+    FROM t_w{top_levels}, (SELECT digest FROM t{top_levels})"""
+
+
+def lowered(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@query("op13_merkle_manifest", sql=merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0  # a null key is none
+    text = F.when(tampered, lowered(F.col("text"))).otherwise(F.col("text"))
+    manifest = merkle_manifest.build(table(spark, folder, "documents"), presented={"text": text})
+    return merkle_manifest.prove(manifest).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
