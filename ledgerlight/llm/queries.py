@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import (
-    byte_bpe, chat_format, decontaminate, jaccard_join, language_model, merkle_manifest, quality_rank, quality_rules, sharding, suffix_dedup,
-    textstats, warc_derivatives,
+    byte_bpe, chat_format, collocations, decontaminate, jaccard_join, language_model, merkle_manifest, quality_rank, quality_rules, sharding,
+    suffix_dedup, textstats, warc_derivatives,
 )
 from ledgerlight.llm.textslices import NO_KEY
 
@@ -155,6 +155,38 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_texts(table(spark, folder, "documents"), lm_training)
 
 
+@query("op12_collocations", sql=r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), words AS MATERIALIZED (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+    ), grams AS MATERIALIZED (
+        SELECT lang, k, phrase, count(*) AS f FROM (
+            SELECT lang, k, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, len(words) - k + 2)]) AS phrase
+            FROM words, (SELECT unnest(range(1, 5)) AS k)
+        ) GROUP BY lang, k, phrase
+    ), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS words FROM grams WHERE k > 1 AND f >= 30),
+    cuts AS (
+        SELECT c.lang, c.size, c.phrase, c.a, cut, x.f AS l, y.f AS r, 2000000::HUGEINT * c.a // (x.f + y.f) AS score
+        FROM (SELECT *, unnest(range(1, size)) AS cut FROM candidates) c
+        JOIN grams x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(words[1:cut], ' ')
+        JOIN grams y ON y.lang = c.lang AND y.k = size - cut AND y.phrase = array_to_string(words[cut + 1:], ' ')
+    ), scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, size, phrase ORDER BY score, cut) = 1),
+    inner_phrases AS (
+        SELECT lang, array_to_string(words[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+        FROM (SELECT *, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM candidates)) GROUP BY 1, 2
+    ), kept AS (
+        SELECT s.* FROM scored s LEFT JOIN inner_phrases i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 80 * s.a
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""")
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 def crc32_sql(text: str) -> str:
     """The unsigned CRC-32 of a short ASCII text, in SQL, one bit at a time."""
     step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"  # the reversed polynomial 0xEDB88320
