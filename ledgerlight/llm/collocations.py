@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from ledgerlight.llm.common import binary_column, buffers, checkpointed, tidy
 #: Fixed values of the task: longest phrase, least count, scale of scores, share of a longer phrase that drops a shorter one, rows for a language.
 LONGEST, LEAST, SCALE, SHARE, TOP = 4, 30, 2_000_000, 80, 2_000
 WIDER = 4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 #: Bits of a set (8 MB) and the factors that make one number of the hashes of a language and up to LONGEST words.
 BITS = 1 << 26
 FACTORS = (1, 524_287, 720_901, 869_059, 1_000_003)
@@ -46,6 +47,30 @@ SEPARATOR = BREAK.copy()
 SEPARATOR[[0x20, 0x09]] = True
 
 
+_CRC_TABLE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC_TABLE = np.where(_CRC_TABLE & 1, (_CRC_TABLE >> 1) ^ np.uint32(0xEDB88320), _CRC_TABLE >> 1).astype(np.uint32)
+#: Words of more bytes than this get their checksum one by one.
+SHORT = 32
+
+
+def crc32(words: pa.Array) -> np.ndarray:
+    """The CRC-32 of each word, byte by byte over all words at once."""
+    data, ends = buffers(words)
+    sizes = np.diff(ends)
+    out = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    order = np.argsort(-sizes, kind="stable")
+    begins, falling = ends[:-1][order], -sizes[order]
+    sums = out[order]
+    for place in range(min(SHORT, int(sizes.max(initial=0)))):
+        n = int(np.searchsorted(falling, -place, side="left"))  # words of over ``place`` bytes
+        sums[:n] = _CRC_TABLE[(sums[:n] ^ data[begins[:n] + place]) & 0xFF] ^ (sums[:n] >> 8)
+    out[order] = ~sums
+    for i in np.flatnonzero(sizes > SHORT):
+        out[i] = zlib.crc32(data[ends[i]:ends[i + 1]])
+    return out.astype(np.int64)
+
+
 class BitSet:
     """A set of hashes with a fixed size; it may hold more than was put in, never less."""
 
@@ -77,7 +102,7 @@ class Block:
         data = W.LOWER[data]
         begins, stops, first = W.runs(data, ends, SEPARATOR)
         text = np.repeat(np.arange(len(langs)), np.diff(first))
-        piece = np.cumsum(BREAK[data], dtype=np.int64)[begins] if len(begins) else begins
+        piece = np.cumsum(BREAK[data], dtype=np.int32)[begins] if len(begins) else begins
         self.follows = np.zeros(len(begins), bool)
         self.follows[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
         offsets = np.concatenate([[0], np.cumsum(stops - begins)])
@@ -86,7 +111,10 @@ class Block:
         encoded = words.dictionary_encode()
         self.words, self.numbers = encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.langs = langs[text]
-        self.crc = np.array([zlib.crc32(word) for word in self.words.to_pylist()], np.int64)
+
+    @cached_property
+    def crc(self) -> np.ndarray:
+        return crc32(self.words)
 
     def starts(self, size: int) -> np.ndarray:
         """Where a phrase of so many words begins."""
@@ -119,13 +147,23 @@ class Block:
         return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())).cast(pa.large_string()).cast(pa.string())
 
 
+def _piece_end(data: np.ndarray, ends: np.ndarray, at: int) -> int:
+    """The end of the first text or piece that ends at ``at`` or behind it, else the end of all."""
+    if at >= ends[-1]:
+        return int(ends[-1])
+    text_end = int(ends[np.searchsorted(ends, at)])
+    for begin in range(at - 1, text_end, 1 << 16):
+        found = np.flatnonzero(BREAK[data[begin:min(begin + (1 << 16), text_end)]])
+        if len(found):
+            return begin + int(found[0]) + 1
+    return text_end
+
+
 def blocks(data: np.ndarray, ends: np.ndarray, langs: np.ndarray, size: int | None = None) -> Iterator[Block]:
     """Blocks of about ``size`` bytes that end with a text or a piece."""
-    size = size or BLOCK_BYTES
-    cuts = np.union1d(ends[1:], np.flatnonzero(BREAK[data]) + 1)
-    begin = int(ends[0])
+    size, begin = size or BLOCK_BYTES, int(ends[0])
     while begin < ends[-1]:
-        end = int(cuts[min(np.searchsorted(cuts, begin + size), len(cuts) - 1)])
+        end = _piece_end(data, ends, begin + size)
         first, last = int(np.searchsorted(ends, begin, side="right")) - 1, int(np.searchsorted(ends, end, side="left"))
         own = np.clip(ends[first:last + 1], begin, end) - begin
         yield Block(data[begin:end], own, langs[first:last])

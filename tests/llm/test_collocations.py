@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,12 @@ def test_bits_are_those_of_the_tasks(spark):
     assert int(np.unpackbits(bits.bits).sum()) == 3
 
 
+def test_checksums():
+    words = [b"", b"a", "é".encode(), b"x" * 31, b"y" * 32, b"z" * 33, b"w" * 5000, *(str(i).encode() for i in range(300))]
+    assert collocations.crc32(pa.array(words, pa.large_binary())).tolist() == [zlib.crc32(word) for word in words]
+    assert collocations.crc32(pa.array([], pa.large_binary())).tolist() == []
+
+
 def test_empty_table_and_no_candidates(spark):
     assert mined(spark, [], 5) == []
     assert mined(spark, [(None, None), ("a b c", "en")], 5) == []
