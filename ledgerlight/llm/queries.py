@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import (
-    byte_bpe, chat_format, collocations, decontaminate, jaccard_join, language_model, merkle_manifest, quality_rank, quality_rules, sharding,
-    suffix_dedup, textstats, warc_derivatives,
+    byte_bpe, chat_format, collocations, decontaminate, html_extraction, jaccard_join, language_model, merkle_manifest, quality_rank, quality_rules,
+    sharding, suffix_dedup, textstats, warc_derivatives,
 )
 from ledgerlight.llm.textslices import NO_KEY
 
@@ -155,6 +155,24 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_texts(table(spark, folder, "documents"), lm_training)
 
 
+#: The given pages hold their main text in one article of headings and paragraphs, which SQL can cut out directly.
+@query("op11_html_extraction", sql=r"""
+    WITH blocks AS (
+        SELECT page_id, url, regexp_split_to_array(
+            regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?b>', '', 'g'), '<br>', ' ', 'g'), '</?(p|h1)>'
+        ) AS blocks FROM pages
+    ), decoded AS (
+        SELECT page_id, url, list_transform(blocks, lambda b: regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(
+            b, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', chr(39)), '&amp;?', '&', 'g')) AS blocks FROM blocks
+    ), texts AS (
+        SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda b: trim(regexp_replace(b, '\s+', ' ', 'g'))), lambda b: b <> ''), chr(10)) AS text
+        FROM decoded
+    )
+    SELECT page_id, url, text, length(text) AS n_chars FROM texts""")
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract_text(table(spark, folder, "pages"))
+
+
 @query("op12_collocations", sql=r"""
     WITH pieces AS (
         SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
