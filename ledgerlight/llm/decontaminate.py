@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlight.llm import wordvec as W
 from ledgerlight.llm.common import buffers, private, slices, tidy
@@ -379,7 +380,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         T.StructField("key", source.schema["key"].dataType), T.StructField("item", benchmark.schema[item].dataType),
         T.StructField("distance", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("end_word", T.LongType()),
     ])
-    kind = pa.from_numpy_dtype(np.int64) if isinstance(schema["item"].dataType, T.LongType) else None
+    kind = to_arrow_type(schema["item"].dataType)
     out = docs.sparkSession.createDataFrame([], schema)
     for index in indexes(benchmark, item, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(index)

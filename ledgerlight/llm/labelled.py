@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import textstats
-from ledgerlight.llm.common import binary_column, buffers
+from ledgerlight.llm.common import buffers, slices
 
 #: Labelled rows that a model is fitted on; with more, those with the smallest hash of their key are taken.
 FIT_ROWS = 10_000
+SLICE_BYTES = 1 << 20
 
 RATIOS = [
     "symbols", "symbol_words", "dup_lines", "repeats", "upper", "loud", "bars", "digits", "next_same", "letters", "word_length",
@@ -31,27 +32,36 @@ def labelled_ratios(
 ) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """(ratios, label 0 or 1, counts) of at most ``rows`` labelled documents.
 
-    Labels other than 0 and 1 and null keys are left out; a key with several labels counts with the smallest. The choice and
-    its order depend on the key alone.
+    Labels other than 0 and 1 and null keys are left out; a key with several labels counts with the smallest, and one of several documents with
+    that whose text has the smallest hash. The choice and its order depend on the key alone. Each task keeps one document of a key, so
+    what is shuffled and collected is bounded by ``rows``, however many documents a labelled key has.
     """
     wanted = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
     wanted = wanted.where(where) if where is not None else wanted
     wanted = wanted.groupBy("key").agg(F.min("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(rows)
     # at most ``rows`` rows of two numbers
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(wanted), "key")
+    texts = texts.select(F.col("key").cast("string").alias("key"), "label", "text", F.xxhash64("text").alias("hash"))
     names = [*textstats.COUNTS, *RATIOS]
+    columns = ["key", "label", "hash", *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, tuple] = {}
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            stats = textstats.statistics(*buffers(binary_column(batch, "text")))
-            ratios = ratio_matrix(stats)
-            columns = [stats[name].astype(np.float64) for name in textstats.COUNTS] + list(ratios.T)
-            yield pa.RecordBatch.from_arrays([batch.column("key").cast(pa.string()), batch.column("label"), *map(pa.array, columns)], ["key", "label", *names])
-
-    found = texts.mapInArrow(run, "key string, label int, " + ", ".join(f"{name} double" for name in names)).toArrow()
-    found = found.sort_by([("key", "ascending"), *((name, "ascending") for name in names)])
+            for part, content in slices(batch, "text", SLICE_BYTES):
+                stats = textstats.statistics(*buffers(content))
+                numbers = np.stack([*(stats[name].astype(np.float64) for name in textstats.COUNTS), *ratio_matrix(stats).T], axis=1)
+                for key, label, hash_, row in zip(*(part.column(name).to_pylist() for name in ("key", "label", "hash")), numbers.tolist()):
+                    mine = (hash_, label, *row)
+                    best[key] = min(best.get(key, mine), mine)
+        if best:
+            rows_ = [(key, label, hash_, *row) for key, (hash_, label, *row) in best.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows_)], columns)
+
+    schema = "key string, label long, hash long, " + ", ".join(f"{name} double" for name in names)
+    each = texts.mapInArrow(run, schema)
+    found = each.groupBy("key").agg(F.min(F.struct("hash", "label", *names)).alias("best")).select("key", "best.*").toArrow()
+    found = found.sort_by("key")
     values = {name: found[name].to_numpy() for name in names}
     matrix = np.stack([values[name] for name in RATIOS], axis=1) if len(found) else np.zeros((0, len(RATIOS)))
     return matrix, found["label"].to_numpy(), {name: values[name].astype(np.int64) for name in textstats.COUNTS}

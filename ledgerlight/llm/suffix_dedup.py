@@ -84,14 +84,13 @@ def segments(part: Slice, size: int, anchor: int) -> Iterator[tuple[np.ndarray,
     """(anchor hash, content hash, row, start, length) of the segments of a slice, some bytes at a time."""
     data, ends = part.data, part.ends
     width = size - anchor + 1
-    powers = W._powers()[1]
     low = np.uint64((1 << 21) - 1)
     for begin in range(0, len(data), CHUNK):
         stop = min(len(data), begin + CHUNK + size - 1)
         if stop - begin < size:
             break
-        sums = W.prefix_sums(data[begin:stop])
-        grams = W.mix((sums[anchor:] - sums[:-anchor]) * powers[:stop - begin - anchor + 1])
+        rolling = W.Rolling(data[begin:stop])
+        grams = rolling.windows(anchor)
         chosen = (_least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), width) & low).astype(np.int64)
         first = int(np.searchsorted(ends, begin, side="right")) - 1
         last = int(np.searchsorted(ends, begin + len(chosen), side="left"))
@@ -112,7 +111,7 @@ def segments(part: Slice, size: int, anchor: int) -> Iterator[tuple[np.ndarray,
         heads = np.flatnonzero(opens)
         b = at[heads]
         e = at[np.append(heads[1:], len(at)) - 1] + size
-        names = W.mix((sums[e] - sums[b]) * powers[b] + (e - b).astype(np.uint64))
+        names = rolling.names(b, e)
         row = borders[np.searchsorted(lows, b, side="right") - 1]
         yield grams[chosen[b]], names, row, b + begin - ends[row], e - b
 
@@ -206,18 +205,17 @@ CONTENT = np.dtype([("anchor", "<u4"), ("key", "<i8"), ("start", "<u4"), ("row",
 
 def strings(part: Slice, rows: np.ndarray, size: int) -> np.ndarray:
     """All strings of ``size`` bytes in the segments, with their places."""
-    powers = W._powers()[1]
     out = [np.zeros(0, STRING)]
     for i in range(0, len(rows), SIDE_BY_SIDE):
         some = rows[i:i + SIDE_BY_SIDE]
         lengths = some["length"].astype(np.int64)
         begins = np.cumsum(lengths) - lengths
-        sums = W.prefix_sums(part.data[np.repeat(part.ends[some["row"]] + some["start"] - begins, lengths) + np.arange(lengths.sum())])
+        rolling = W.Rolling(part.data[np.repeat(part.ends[some["row"]] + some["start"] - begins, lengths) + np.arange(lengths.sum())])
         counts = lengths - size + 1
         offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         at = np.repeat(begins, counts) + offset
         found = np.zeros(len(at), STRING)
-        found["name"] = W.mix((sums[at + size] - sums[at]) * powers[at])
+        found["name"] = rolling.names(at, at + size)
         found["anchor"], found["row"], found["start"] = np.repeat(some["anchor"], counts), np.repeat(some["row"], counts), np.repeat(some["start"], counts) + offset
         found["key"] = part.keys[found["row"]]
         out.append(found)

@@ -1,22 +1,28 @@
 """Words, lines and windows of many texts at once, as numpy arrays over the bytes of an Arrow column.
 
-A word is a run of bytes other than 0x20 and 0x09-0x0D; it never crosses from one text into the next. Words are named by
-64-bit hashes: a polynomial over random byte values, from prefix sums, then mixed; words of over LONG bytes by blake2b.
+A word is a run of bytes other than 0x20 and 0x09-0x0D; it never crosses from one text into the next. Words and other spans are named by
+64 bits: blocks of 8 bytes, each mixed with its place in the span, are added up with the length and mixed again. Strings of up to 8 bytes and one
+length can't share a name; others do with a chance of about 2^-64 a pair, unless they are made with the constants below in mind. Windows at
+every byte are named by two polynomials modulo the prime 2^31 - 1 with fixed random bases: two different windows of n bytes share a name for
+at most n of the bases each, a chance of (n / 2^31)^2 over the choice of the bases.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 
-#: Words of more bytes than this are hashed one by one; the others in blocks of BLOCK bytes.
-LONG = 1024
-BLOCK = 1 << 21
+#: Spans are named together up to so many blocks of 8 bytes.
+BLOCK = 1 << 17
+#: Most bytes of one ``Rolling``.
+ROLLING = (1 << 20) + (1 << 12)
 
 _BASE = 0x9E3779B97F4A7C15
-_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_POWERS: list[np.ndarray] = []
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_PRIME = np.uint64((1 << 31) - 1)
+#: Fixed random bases and values of the bytes.
+_BASES = (1_160_269_963, 871_244_813)
+_VALUES = np.random.default_rng(20240229).integers(1, int(_PRIME), (2, 256), dtype=np.uint64)
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -35,39 +41,72 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers() -> list[np.ndarray]:
+def _rest(x: np.ndarray) -> np.ndarray:
+    """x modulo 2^31 - 1."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _powers() -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its powers and those of its inverse."""
+    def series(base: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < ROLLING + 1:
+            out = np.concatenate([out, _rest(out * np.uint64(pow(base, len(out), int(_PRIME))))])
+        return out[:ROLLING + 1].astype(np.uint32)
+
     if not _POWERS:
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            powers = np.full(BLOCK + LONG + 1, base, np.uint64)
-            powers[0] = 1
-            _POWERS.append(np.multiply.accumulate(powers))
+        _POWERS.extend((series(base), series(pow(base, -1, int(_PRIME)))) for base in _BASES)
     return _POWERS
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Sums S with S[j] - S[i] times the inverse base to the i naming data[i:j]; at most BLOCK + LONG bytes."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _powers()[0][:len(data)], out=sums[1:])
-    return sums
+class Rolling:
+    """Names of the windows data[begin:stop] of up to ROLLING bytes, from prefix sums."""
+
+    def __init__(self, data: np.ndarray):
+        if len(data) > ROLLING:
+            raise ValueError(f"{len(data)} bytes are more than {ROLLING}")
+        self.sums = []
+        for values, (powers, _) in zip(_VALUES, _powers()):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(_rest(values[data] * powers[:len(data)]), out=sums[1:])
+            self.sums.append(_rest(sums))
+
+    def _name(self, ends: list[np.ndarray], starts: list[np.ndarray], inverses: list[np.ndarray], lengths: np.ndarray | int) -> np.ndarray:
+        high, low = (_rest((end + _PRIME - start) * inverse) for end, start, inverse in zip(ends, starts, inverses))
+        return mix((high << np.uint64(32) | low) + np.asarray(lengths).astype(np.uint64) * np.uint64(_BASE))
+
+    def names(self, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        return self._name([s[stops] for s in self.sums], [s[begins] for s in self.sums], [inverse[begins] for _, inverse in _powers()], stops - begins)
+
+    def windows(self, size: int) -> np.ndarray:
+        """The names of all windows of ``size`` bytes, in order."""
+        n = len(self.sums[0]) - size
+        return self._name([s[size:] for s in self.sums], [s[:n] for s in self.sums], [inverse[:n] for _, inverse in _powers()], size)
 
 
 def span_hashes(data: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit names of the byte strings data[begins[i]:stops[i]], begins ascending."""
+    """64-bit names of the byte strings data[begins[i]:stops[i]]."""
     out = np.zeros(len(begins), np.uint64)
-    long = np.flatnonzero(stops - begins > LONG)
-    at = 0
-    while at < len(begins):
-        first = begins[at]
-        until = int(np.searchsorted(begins, first + BLOCK, side="left"))
-        some = np.arange(at, until)
-        short = some[stops[some] - begins[some] <= LONG]
-        if len(short):
-            sums = prefix_sums(data[first:stops[short].max()])
-            b, e = begins[short] - first, stops[short] - first
-            out[short] = mix((sums[e] - sums[b]) * _powers()[1][b] + (e - b).astype(np.uint64))
-        at = until
-    for i in long:
-        out[i] = int.from_bytes(hashlib.blake2b(data[begins[i]:stops[i]].tobytes(), digest_size=8).digest(), "little")
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    at_each_byte = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+    sizes = stops - begins
+    blocks = np.maximum(sizes + 7 >> 3, 1)
+    ends = np.cumsum(blocks)
+    first = 0
+    while first < len(begins):
+        before = int(ends[first] - blocks[first])
+        last = max(first + 1, int(np.searchsorted(ends, before + BLOCK, side="right")))
+        count, start = blocks[first:last], ends[first:last] - blocks[first:last] - before
+        place = np.arange(int(ends[last - 1]) - before) - np.repeat(start, count)
+        at = np.repeat(begins[first:last], count) + 8 * place
+        bytes_left = np.minimum(np.repeat(stops[first:last], count) - at, 8)
+        values = at_each_byte[at] & _MASKS[bytes_left]
+        mixed = mix(values ^ mix((place.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE)))
+        out[first:last] = mix(np.add.reduceat(mixed, start) + sizes[first:last].astype(np.uint64) * np.uint64(_BASE))
+        first = last
     return out
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -54,3 +55,28 @@ def test_query_needs_no_python(spark):
 @pytest.mark.parametrize("text", ["<" * 40000, "|" * 40000 + "<|im_end|>" * 4000])
 def test_long_texts(spark, text):
     assert back(spark, [(1, 1, "assistant", text)])[1].loss_texts == [text]
+
+
+def test_a_conversation_of_very_many_turns(spark):
+    many = 50_000
+    turns = spark.range(many).selectExpr(
+        "1L AS conv_id", "id AS turn", "CASE WHEN id % 3 = 0 THEN 'user' ELSE 'assistant' END AS role", "concat('<| turn é🙂 ', id, repeat(' word', CAST(id % 20 AS INT))) AS text",
+    )
+    out = C.loss_texts(C.read_conversations(C.format_conversations(turns)))
+    begun = time.time()
+    row = out.first()
+    assert time.time() - begun < 60  # a few seconds where nothing else runs
+    texts = [f"<| turn é🙂 {i}{' word' * (i % 20)}" for i in range(many)]
+    assert [t.text for t in row.turns] == texts
+    assert row.loss_texts == [text for i, text in enumerate(texts) if i % 3]
+
+
+@pytest.mark.parametrize("group, piece", [(1, 1), (2, 3), (3, 7), (128, 8192)])
+def test_groups_and_pieces_do_not_show(spark, monkeypatch, group, piece):
+    monkeypatch.setattr(C, "GROUP", group)
+    monkeypatch.setattr(C, "PIECE", piece)
+    rows = [(c, i, role, text) for c in range(5) for i, (role, text) in enumerate([("user", "aé"), ("assistant", ""), ("assistant", "x🙂yz<|"), ("user", None), ("assistant", "end")][:c + 1])]
+    got = back(spark, rows)
+    for c in range(5):
+        assert got[c].loss_texts == ["", "x🙂yz<|", "end"][:[0, 1, 2, 2, 3][c]]
+        assert [t.text for t in got[c].turns] == ["aé", "", "x🙂yz<|", "", "end"][:c + 1]
