@@ -25,6 +25,7 @@ from ledgerlight.plans import dashboard as D
 from ledgerlight.plans import diagnostics as A
 from ledgerlight.plans import layers as L
 from ledgerlight.session import scratch_path
+from ledgerlight.sources import keyed as KY
 from ledgerlight.sources import readers as RD
 from ledgerlight.sources import writers as WR
 from ledgerlight.streaming import incremental as IN
@@ -33,6 +34,8 @@ Plan = Callable[[Inputs], DataFrame]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The SQL of each query before its inputs are put in.
+ORACLES_OF: dict[str, str] = {}
 
 
 def add(name: str, plan: Plan, sql: str | None = None, digits: dict[str, int] | None = None) -> None:
@@ -46,6 +49,7 @@ def add(name: str, plan: Plan, sql: str | None = None, digits: dict[str, int] |
 
     QUERIES[name] = run
     if sql is not None:
+        ORACLES_OF[name] = sql
         ORACLES[name] = O.rounded(O.oracle(sql), digits) if digits else O.oracle(sql)
 
 
@@ -143,6 +147,29 @@ add(
     lambda t: RD.read_partitioned(t.spark, _stored_silver(t)).select(*K.SILVER_COLUMNS),
     f"SELECT {SILVER} FROM silver",
 )
+
+
+def _drifting(t: Inputs) -> DataFrame:
+    """Line items whose quantity has another type in each folder and whose price is whole in one of them."""
+    path = f"{scratch_path(t.spark, 'drifting')}/{uuid.uuid4().hex}"
+    kinds = ["INT", "BIGINT", "DOUBLE", "STRING", "SMALLINT"]
+    for i, kind in enumerate(kinds):
+        price = "CAST(floor(l_extendedprice) AS BIGINT)" if kind == "BIGINT" else "l_extendedprice"
+        rows = t.table("lineitem").where(F.col("l_linenumber") % len(kinds) == i).selectExpr(
+            "l_orderkey", "l_linenumber", f"CAST({'l_quantity' if kind == 'DOUBLE' else 'CAST(l_quantity AS INT)'} AS {kind}) AS quantity", f"{price} AS price",
+        )
+        (rows.withColumn("note", F.lit(kind)) if i % 2 else rows).write.parquet(f"{path}/part={i}")
+    return RD.read_partitioned(t.spark, path)
+
+
+add(
+    "src5_read_drifting_types",
+    _drifting,
+    """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 5 WHEN 2 THEN CAST(l_quantity AS VARCHAR) ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS quantity,
+         CASE l_linenumber % 5 WHEN 1 THEN floor(l_extendedprice) ELSE CAST(l_extendedprice AS DOUBLE) END AS price,
+         CASE l_linenumber % 5 WHEN 1 THEN 'BIGINT' WHEN 3 THEN 'STRING' END AS note, CAST(l_linenumber % 5 AS INT) AS part
+       FROM lineitem""",
+)
 add(
     "src6_read_layer",
     lambda t: RD.read_layer(t.spark, f"{t.folder}/supplier.parquet").select("s_suppkey", "s_name"),
@@ -275,6 +302,26 @@ add(
        GROUP BY object_name""",
 )
 
+
+def _landed_by_two_runs(t: Inputs) -> DataFrame:
+    """Two runs land overlapping pages; the second began before the first was done, so its choice is made anew when it commits."""
+    path = f"{scratch_path(t.spark, 'landed-once')}/{uuid.uuid4().hex}"
+    objects = t.table("pages").select(
+        F.concat(F.col("page_id").cast("string"), F.lit(" "), F.col("url")).alias("object_name"), F.col("html").alias("content"), F.col("url").alias("source_url"),
+        F.lit(200).alias("http_status"), "page_id",
+    )
+    WR.land_once(objects.where("page_id % 3 = 0").drop("page_id"), path)
+    WR.land_once(objects.where("page_id % 3 <> 1").withColumn("content", F.concat("content", F.lit("again"))).drop("page_id"), path)
+    WR.land_once(objects.drop("page_id"), path)
+    return RD.read_landed(t.spark, path).select("object_name", "sha256")
+
+
+add(
+    "snk6_land_once",
+    _landed_by_two_runs,
+    """SELECT concat(CAST(page_id AS VARCHAR), ' ', url) AS object_name, sha256(CASE page_id % 3 WHEN 2 THEN concat(html, 'again') ELSE html END) AS sha256 FROM pages""",
+)
+
 # Landing of filing sections: page texts as filings, some without a filing, some that failed to download.
 LAND_DATE = "2024-01-01"
 
@@ -805,6 +852,22 @@ add(
          WHERE n.cik = f.cik AND n.accession = f.accession AND n.section = f.section)""",
 )
 
+
+
+def _merged(t: Inputs) -> DataFrame:
+    """The same merge on storage: only the folders that new rows fall into are rewritten, and reading needs no window."""
+    path = f"{scratch_path(t.spark, 'merged')}/{uuid.uuid4().hex}"
+    old = t.text_features.select(*K.TEXT_KEY, "sentiment_score", "risk_level", "text_length")
+    new = L.build_text_features(t.filing_text).select(
+        *K.TEXT_KEY, "sentiment_score", "distress_keywords", F.col("text_length").cast("bigint").alias("text_length")
+    )
+    for rows in (old, new):
+        WR.merge_text_features(rows, path, buckets=8)
+    return KY.read_keyed(t.spark, path).drop(KY.BUCKET)
+
+
+add("nlp16_merge_on_storage", _merged, ORACLES_OF["nlp16_upsert_latest"])
+
 # -------------------------------------------------------------------------------------------- composite
 
 add(

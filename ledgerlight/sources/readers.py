@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,8 @@ from ledgerlight.functions.text import decode_text
 from ledgerlight.functions.values import pad_cik, strip
 from ledgerlight.operators.filings import read_submission_rows
 from ledgerlight.operators.text_features import parse_object_name
+from ledgerlight.sources import typed
+from ledgerlight.sources.commits import CommitLog
 
 
 def read_documents(
@@ -62,18 +67,53 @@ def list_filing_text(spark: SparkSession, path: str, packed: bool = False, patte
     return read_filing_text(spark, path, packed, pattern).drop("text")
 
 
-def read_chosen(spark: SparkSession, chosen: DataFrame, max_files: int | None = None) -> DataFrame:
+#: Bytes and files of a task that reads chosen objects.
+CHOSEN_BYTES, CHOSEN_FILES = 128 << 20, 2_000
+
+
+def open_arrow(name: str):
+    """Open an object for reading by its address; credentials come from the environment of the worker."""
+    from pyarrow import fs
+
+    scheme, found, rest = name.partition(":")
+    if not found or scheme == "file" or "/" in scheme:
+        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/") if scheme == "file" else name)
+    if scheme not in ("s3", "s3a", "gs", "hdfs"):
+        raise ValueError(f"{name}: pass an opener for {scheme}, or read all objects and use open_documents")
+    store, path = fs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
+    return store.open_input_stream(path)
+
+
+def read_chosen(spark: SparkSession, chosen: DataFrame, opener: Callable = open_arrow, max_files: int | None = None) -> DataFrame:
     """The texts of chosen objects, all of them and no other; more than ``max_files``, where a caller names it, are refused.
 
-    The names become the scan's list of files, which Spark keeps on the driver for any scan.
+    Names stay in partitions: no file is listed and no name comes to the driver. Tasks open the objects with ``opener`` (address to a
+    readable stream; the shipped one knows local files, S3, GCS and HDFS). With a column ``length`` (bytes, as a listing gives
+    it) tasks get about CHOSEN_BYTES each, else CHOSEN_FILES objects. An object that is gone fails its task with its name.
     """
-    listed = chosen.select("object_name").orderBy("object_name")
-    names = [row.object_name for row in (listed if max_files is None else listed.limit(max_files + 1)).collect()]
-    if max_files is not None and len(names) > max_files:
-        raise ValueError(f"more than {max_files} objects are chosen; the first beyond them is {names[-1]}")
-    if names:
-        return read_filing_text(spark, names)
-    return parse_object_name(spark.createDataFrame([], "object_name STRING, text STRING"))
+    sized = "length" in chosen.columns
+    size = chosen.agg(F.count("*").alias("files"), (F.sum("length") if sized else F.lit(0)).alias("bytes")).first()
+    if max_files is not None and size.files > max_files:
+        raise ValueError(f"more than {max_files} objects are chosen: {size.files}")
+    tasks = max(1, -(-size.files // CHOSEN_FILES), -(-(size.bytes or 0) // CHOSEN_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("object_name").to_pylist():
+                with opener(name) as stream:
+                    content = stream.read()
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], ["object_name", "content"])
+
+    read = chosen.select("object_name").repartition(tasks).mapInArrow(run, "object_name string, content binary")
+    return parse_object_name(read.select("object_name", decode_text("content").alias("text")))
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The objects of all landings that were committed (`writers.land_once`)."""
+    runs = CommitLog(spark, path).latest()[1].get("runs", [])
+    if not runs:
+        raise ValueError(f"nothing is landed at {path}")
+    return spark.read.option("mergeSchema", True).parquet(*(f"{path}/{run}" for run in runs))
 
 
 def _read_csv(
@@ -83,8 +123,10 @@ def _read_csv(
     or their lines dropped. Files of one folder must have the same header."""
     options = {"header": True, "encoding": encoding, "escape": '"', "multiLine": True}
     names = spark.read.options(**options).csv(path).columns
-    first = F.rtrim(F.substring_index("value", "\n", 1), F.lit("\r"))
-    heads = spark.read.text(path, wholetext=True).select(first.alias("head")).where("head <> ''").distinct().limit(2).collect()
+    # the reader of lines splits large files; the first line of each file is the one at its begin, wherever a task starts
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.where("at = 0").withColumn("nth", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "nth").alias("head"))
+    heads = first.select(F.rtrim("head", F.lit("\r")).alias("head")).where("head <> ''").distinct().limit(2).collect()
     if len(heads) > 1:
         raise ValueError(f"files below {path} have different headers")
     schema = ", ".join(f"`{name}` STRING" for name in [*names, "_surplus"])
@@ -108,8 +150,14 @@ def read_constituents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet layer: partition columns from the folder names, files of differing columns merged by name."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """A Parquet layer: partition columns from the folder names, files of differing columns merged by name. Where files disagree on
+    a column's type, it gets the smallest type that holds all of them (`typed`)."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except typed.MERGE_ERRORS as problem:
+        if not typed.cannot_merge(problem):
+            raise
+    return typed.read_typed(spark, path)
 
 
 def read_layer(spark: SparkSession, uri: str) -> DataFrame:

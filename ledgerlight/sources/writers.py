@@ -8,13 +8,17 @@ into every folder.
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlight import constants as K
 from ledgerlight.operators.filings import only_new
 from ledgerlight.operators.text_features import processed_now
 from ledgerlight.operators.universe import order_universe
+from ledgerlight.sources.commits import CommitLog, Conflict
+from ledgerlight.sources.keyed import merge_keyed
 
 CSV_OPTIONS = {"header": True, "escape": '"', "emptyValue": "", "nullValue": ""}
 
@@ -97,6 +101,61 @@ def land_with_lineage(
     return objects.sparkSession.read.parquet(path).where(F.col("fetched_at_utc") == now)
 
 
+def land_once(
+    objects: DataFrame, path: str, landed: DataFrame | None = None, extra: list[str] | None = None
+) -> DataFrame:
+    """Store objects whose names are not landed yet; nothing landed is ever rewritten. Returns the rows as they are stored.
+
+    Unlike `land_with_lineage` this holds for runs at the same time, too: a run stores its objects in a folder of its own and commits it; if
+    another run committed in between, the names that it landed are taken out and the rest is committed. A run that dies has landed
+    nothing, and its names stay open (`clear_abandoned_landings`). ``landed`` holds further names that count as landed.
+    Of several objects of one name the one with the smallest hash is stored. New names are chosen before any content is moved.
+    """
+    spark, log = objects.sparkSession, CommitLog(objects.sparkSession, path)
+    if landed is not None:
+        objects = objects.join(only_new(objects, landed), "object_name", "left_semi")
+    at, entry = log.latest()
+    runs = entry.get("runs", [])
+    if runs:
+        objects = objects.join(only_new(objects, _landed_runs(spark, path, runs)), "object_name", "left_semi")
+    now = spark.range(1).select(processed_now().alias("now")).first().now
+    named = lineage_columns(objects, extra=extra, now=F.lit(now))
+    one = Window.partitionBy("object_name").orderBy("sha256", "source_url", "http_status")
+    new = named.withColumn("_rn", F.row_number().over(one)).where("_rn = 1").drop("_rn")
+    while True:
+        run = f"run-{uuid.uuid4().hex}"
+        new.write.parquet(f"{path}/{run}")
+        while True:
+            try:
+                log.commit(at + 1, {"runs": [*runs, run]})
+                return spark.read.parquet(f"{path}/{run}")
+            except Conflict:
+                at, entry = log.latest()
+                others = [name for name in entry["runs"] if name not in runs]
+                runs = entry["runs"]
+                mine = spark.read.parquet(f"{path}/{run}")
+                theirs = _landed_runs(spark, path, others)
+                if mine.join(theirs, "object_name", "left_semi").limit(1).count():
+                    new = mine.join(theirs, "object_name", "left_anti")
+                    break
+
+
+def _landed_runs(spark: SparkSession, path: str, runs: list[str]) -> DataFrame:
+    """The names that these runs landed."""
+    return spark.read.parquet(*(f"{path}/{run}" for run in runs)).select("object_name")
+
+
+def clear_abandoned_landings(spark: SparkSession, path: str, older_than_s: float = 86_400) -> list[str]:
+    """Remove what runs left behind that ended before they committed. Returns the folders' names."""
+    log = CommitLog(spark, path)
+    return log.clear_abandoned(set(log.latest()[1].get("runs", [])), older_than_s)
+
+
+def merge_text_features(features: DataFrame, path: str, version: str | None = None, number: int | None = None, **kept: int) -> int:
+    """Merge new feature rows into a table with one row for each document; only the buckets they fall into are rewritten (`keyed`)."""
+    return merge_keyed(features, path, K.TEXT_KEY, version, number=number, **kept)
+
+
 def write_summary(results: DataFrame, path: str) -> None:
     """Outcomes item by item."""
     results.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
