@@ -19,6 +19,7 @@ def get_session(app: str = "ledgerlight", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.sql.dataFrameQueryContext.enabled": "false",  # no stack capture per column expression
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go once no plan refers to them
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -28,10 +29,15 @@ def get_session(app: str = "ledgerlight", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate data that driver and executors share: the one the cluster names for checkpoints,
-    else one below the warehouse."""
+    """The folder for intermediate data that driver and executors share: the one the cluster names for checkpoints, else one below the
+    warehouse. A folder of one machine is refused where executors run on others."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    if root:
+        return root
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and warehouse.partition(":")[0] in ("file", warehouse):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {warehouse} is one of this machine")
+    return f"{warehouse}/_checkpoints"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

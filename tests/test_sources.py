@@ -2,6 +2,7 @@ import datetime
 import hashlib
 import inspect
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -156,6 +157,20 @@ def test_scratch_folder_is_a_shared_one(spark):
     assert shared_folder(spark) == root
 
 
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    def session(master, warehouse, checkpoint=None):
+        conf = {"spark.sql.warehouse.dir": warehouse} | ({"spark.checkpoint.dir": checkpoint} if checkpoint else {})
+        get = SimpleNamespace(get=lambda key, default=None: conf.get(key, default))
+        return SimpleNamespace(conf=get, sparkContext=SimpleNamespace(master=master, getConf=lambda: get))
+
+    assert shared_folder(session("local[4]", "file:/w")) == "file:/w/_checkpoints"
+    assert shared_folder(session("yarn", "hdfs://n/w")) == "hdfs://n/w/_checkpoints"
+    assert shared_folder(session("yarn", "file:/w", "s3a://b/c")) == "s3a://b/c"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session("spark://h:7077", warehouse))
+
+
 def test_section_files(spark, tmp_path):
     (tmp_path / "ingestion_date=2024-02-03").mkdir()
     (tmp_path / "ingestion_date=2024-02-03" / "CIK0000000009_acc_mda.txt").write_bytes(b"going\xff concern")
