@@ -5,8 +5,11 @@ links); its conversion record holds the page's visible text. Both refer to the r
 digests, and carry digests of their own. Identifiers are derived from the content, so equal input gives equal records.
 
 Defined cases: a null url leaves the target out, a null html is an empty payload, a null key is empty in the identifier; repeated rows give
-repeated records with equal identifiers; an empty table gives none; other columns are ignored. Records that can't be read (no version line,
-wrong length) raise an error that names them. A page of any length is converted whole, in one pass over its markup.
+repeated records with equal identifiers; an empty table gives none; other columns are ignored. A null response gives one row of type
+``missing`` whose other columns are null. Records that can't be read (no version line, wrong length) raise an error that names them.
+Source headers are kept as they come, repeated ones too, in order, folded lines joined. Digests are those of the stored bytes; for the
+text chunks are joined and gzip and deflate undone, and what can't be undone is named in the metadata: of a broken body the part
+before the fault is used, of an unknown coding nothing. A page of any length is converted whole, in one pass over its markup.
 A head without end tag ends before the first text or tag that can't stand in it; other hidden elements without end tag hide nothing,
 but scripts, styles and comments hide the rest of the page.
 """
@@ -18,9 +21,11 @@ import hashlib
 import html as entities
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - makes pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,11 +141,87 @@ def response_record(key: str, url: str, page: str, date: str) -> bytes:
     ], http + payload)
 
 
-def http_parts(block: bytes) -> tuple[str, dict[str, str], bytes]:
+class Headers(dict):
+    """The first value of each header, names in lower case; ``pairs`` has all of them in order."""
+
+    def __init__(self, lines: list[str]):
+        self.pairs: list[tuple[str, str]] = []
+        for line in lines:
+            if line[:1] in (" ", "\t") and self.pairs:  # a folded line goes on with the one before
+                name, value = self.pairs[-1]
+                self.pairs[-1] = (name, f"{value} {line.strip()}".strip())
+            elif ":" in line:
+                name, _, value = line.partition(":")
+                self.pairs.append((name.strip().lower(), value.strip()))
+        super().__init__(reversed(self.pairs))
+
+    def codings(self, name: str) -> list[str]:
+        """The codings that headers of this name list, in the order in which they were applied."""
+        values = ",".join(value for key, value in self.pairs if key == name)
+        return [part.strip().lower() for part in values.split(",") if part.strip() and part.strip().lower() != "identity"]
+
+
+def http_parts(block: bytes) -> tuple[str, Headers, bytes]:
     """Status line, headers and payload of a response block."""
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *lines = head.decode("latin-1").split("\r\n")
-    return status, {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}, payload
+    return status, Headers(lines), payload
+
+
+def unchunk(body: bytes) -> tuple[bytes, bool]:
+    """The joined chunks, and whether the body was whole."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return b"".join(out), False
+        length = int(size, 16)
+        if length == 0:
+            return b"".join(out), True
+        out.append(body[end + 2:end + 2 + length])
+        at = end + 2 + length
+        if body[at:at + 2] != b"\r\n":
+            return b"".join(out), False
+        at += 2
+
+
+def inflate(body: bytes, coding: str) -> tuple[bytes, bool]:
+    """The body without gzip (all of its members) or deflate (with or without a zlib header), and whether it was whole."""
+    out = []
+    raw = coding == "deflate" and not (len(body) > 1 and body[0] & 15 == 8 and (body[0] << 8 | body[1]) % 31 == 0)
+    while body:
+        stream = zlib.decompressobj(31 if coding == "gzip" else -15 if raw else 15)
+        try:
+            # by pieces, so that a fault loses only what lies behind it
+            for at in range(0, len(body), 4096):
+                out.append(stream.decompress(body[at:at + 4096]))
+                if stream.eof:
+                    body = stream.unused_data + body[at + 4096:]
+                    break
+            else:
+                return b"".join(out), False
+        except zlib.error:
+            return b"".join(out), False
+        if coding != "gzip" or body[:2] != b"\x1f\x8b":
+            return b"".join(out), True
+    return b"".join(out), True
+
+
+def decoded(http: Headers, payload: bytes) -> tuple[bytes, list[str]]:
+    """The payload without transfer and content codings, and what could not be undone."""
+    faults = []
+    for name in ("transfer-encoding", "content-encoding"):
+        for coding in reversed(http.codings(name)):
+            coding = coding.removeprefix("x-")
+            if coding == "chunked":
+                payload, whole = unchunk(payload)
+            elif coding in ("gzip", "deflate"):
+                payload, whole = inflate(payload, coding)
+            else:
+                return b"", [*faults, f"unknown {coding}"]
+            faults += [] if whole else [f"broken {coding}"]
+    return payload, faults
 
 
 def derivatives(response: bytes) -> tuple[bytes, bytes]:
@@ -150,10 +231,11 @@ def derivatives(response: bytes) -> tuple[bytes, bytes]:
         raise ValueError(f"{source.get('warc-record-id')} is no response")
     status, http, payload = http_parts(block)
     charset = re.search(r"charset=\"?([\w-]+)", http.get("content-type", ""))
+    body, faults = decoded(http, payload)
     try:
-        page = payload.decode(charset.group(1) if charset else "utf-8", "replace")
+        page = body.decode(charset.group(1) if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
+        page = body.decode("utf-8", "replace")
     text = visible_text(page).encode()
     name, target = source["warc-record-id"], source.get("warc-target-uri", "")
     linked = [
@@ -165,7 +247,7 @@ def derivatives(response: bytes) -> tuple[bytes, bytes]:
     fields = [
         ("source-record-id", name), ("source-payload-digest", source.get("warc-payload-digest") or digest(payload)),
         ("source-block-digest", source.get("warc-block-digest") or digest(block)), ("source-status", status),
-        *((f"source-header-{key}", value) for key, value in http.items()),
+        *((f"source-header-{key}", value) for key, value in http.pairs), *(("source-body-fault", fault) for fault in faults),
         ("conversion-record-id", conversion_id), ("conversion-digest", digest(text)), ("text-bytes", str(len(text))),
         ("title", " ".join(entities.unescape(title.group(1)).split()) if title else ""),
         *(("outlink", entities.unescape(next(x for x in link if x))) for link in _LINK.findall(page) if any(link)),
@@ -199,14 +281,20 @@ def response_records(pages: DataFrame, date: str, key: str = "page_id", url: str
 
 def build_derivatives(responses: DataFrame, key: str = "page_id", response: str = "response") -> DataFrame:
     """key, type, record_id, refers_to, payload_digest, block_digest, content (the block) and record of the two derived records."""
-    source = responses.select(F.col(key).alias("key"), F.col(response).alias("response")).where("response IS NOT NULL")
+    source = responses.select(F.col(key).alias("key"), F.col(response).alias("response"))
     names = ["record_id", "refers_to", "source_payload_digest", "block_digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 some = batch.slice(i, 256)
-                made = [(k, x) for k, r in zip(range(some.num_rows), some.column("response")) for x in derivatives(r.as_py())]
+                missing = pa.compute.indices_nonzero(some.column("response").is_null())
+                if len(missing):
+                    nothing = [pa.nulls(len(missing), kind) for kind in (*[pa.string()] * len(names), pa.binary(), pa.binary())]
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column("key").take(missing), pa.array(["missing"] * len(missing)), *nothing], ["key", "type", *names, "content", "record"],
+                    )
+                made = [(k, x) for k, r in zip(range(some.num_rows), some.column("response").to_pylist()) if r is not None for x in derivatives(r)]
                 parsed = [parse(x) for _, x in made]
                 fields = [dict(line.split(": ", 1) for line in b.decode().split("\r\n") if ": " in line) if h["warc-type"] == "metadata" else {} for h, b in parsed]
                 columns = [
