@@ -3,7 +3,8 @@
 Rows are put into one global order (by the hash of the text, then by key: equal texts stand next to each other). Each
 partition sums up its own rows; the totals of the partitions, one row each, give every partition's offset, and offset
 plus local sum is a row's global prefix sum. The order is cut at equal targets. A cut that falls into a group of equal
-texts moves to the nearer end of that group, unless the group alone is larger than a shard: then it is cut at the target.
+texts moves to the nearer end of that group if that is within MOVE_PERCENT of a shard; else the group is cut at the target. So a
+shard's bytes differ from its equal part by twice that percentage and one row at most.
 
 Defined cases: a null text has the size of an empty one; null keys come first; repeated rows are kept, each with a slot of
 its own; an empty table gives an empty result; fewer rows than shards leave some shards empty. Only the key and numbers made
@@ -24,6 +25,8 @@ from ledgerlight.llm.common import checkpointed
 
 #: Bytes that each row counts besides its text.
 ROW_BYTES = 8
+#: How far a cut may move to keep equal texts together, in percent of a shard's equal part.
+MOVE_PERCENT = 1
 
 
 def with_prefix_sums(sizes: DataFrame) -> DataFrame:
@@ -72,8 +75,9 @@ def cuts(prefix: DataFrame, shards: int) -> list[int]:
     for shard in range(1, shards):
         cut = -(-total * shard // shards)
         for group in groups:
-            if group.begin < cut < group.end and (group.end - group.begin) * shards <= total:
-                cut = group.begin if cut - group.begin <= group.end - cut else group.end
+            if group.begin < cut < group.end:
+                near = group.begin if cut - group.begin <= group.end - cut else group.end
+                cut = near if abs(near - cut) * shards * 100 <= MOVE_PERCENT * total else cut
                 break
         out.append(max(cut, out[-1]) if out else cut)
     return out

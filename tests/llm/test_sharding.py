@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 
+from ledgerlight.llm import queries as Q
 from ledgerlight.llm.sharding import shard_by_bytes
 
 SCHEMA = "doc_id long, text string, shard string, hash string, size string"
@@ -51,3 +52,38 @@ def test_empty_few_null_and_repeated_rows(spark):
 def test_order_is_contiguous(spark, shards):
     _, by = shards_of(spark, [f"{i}" * (i % 40) for i in range(300)], shards)
     assert max(map(len, by.values())) < 300
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query_on_the_whole_table(spark, folder):
+    docs = Q.table(spark, folder, "documents").collect()
+    got = Q.QUERIES["op8_sharding"](spark, folder).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in docs}
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs) and {r.law for r in got} == {"bytes"} and {r.grown_shard for r in got} == {None}
+    total, largest, by = 0, 0, defaultdict(list)
+    for row in got:
+        text = texts[row.doc_id]
+        assert (row["size"], row.text_crc32) == (len(text) + 8, zlib.crc32(text))
+        by[row.shard].append(row)
+        total, largest = total + row["size"], max(largest, row["size"])
+    assert set(by) <= set(range(24))
+    for rows in by.values():
+        assert sorted(r.slot for r in rows) == list(range(len(rows)))
+        assert abs(sum(r["size"] for r in rows) - total / 24) <= 0.02 * total / 24 + largest
+    # one order: shards follow each other, and equal texts are split by a cut at most, never scattered
+    groups = defaultdict(list)
+    for row in got:
+        groups[texts[row.doc_id]].append((row.shard, row.slot))
+    ends = {shard: len(rows) for shard, rows in by.items()}
+    for places in groups.values():
+        places.sort()
+        for (shard, slot), (next_shard, next_slot) in zip(places, places[1:]):
+            assert (next_shard, next_slot) == (shard, slot + 1) or next_slot == 0 and slot == ends[shard] - 1
+
+
+def test_balance_with_groups_just_below_a_shard(spark):
+    texts = [f"{group} " + "x" * 990 for group in "abc" for _ in range(22)] + [f"{i:06d} " + "y" * (i % 90) for i in range(9000)]
+    sizes = [len(t) + 8 for t in texts]
+    _, by = shards_of(spark, texts, 24)
+    equal = sum(sizes) / 24
+    assert all(abs(sum(r["size"] for r in rows) - equal) <= 0.02 * equal + max(sizes) for rows in by.values())
