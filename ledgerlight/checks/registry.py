@@ -23,8 +23,9 @@ from ledgerlight.operators import text_features as N
 from ledgerlight.operators import universe as U
 from ledgerlight.plans import dashboard as D
 from ledgerlight.plans import diagnostics as A
+from ledgerlight.plans import incremental_gold as IG
 from ledgerlight.plans import layers as L
-from ledgerlight.session import scratch_path
+from ledgerlight.session import checkpointed, scratch_path
 from ledgerlight.sources import keyed as KY
 from ledgerlight.sources import readers as RD
 from ledgerlight.sources import writers as WR
@@ -1348,6 +1349,40 @@ add(
     Z,
 )
 
+
+
+def _updated_gold(t: Inputs) -> DataFrame:
+    """Silver arrives in three parts, the first with rows that later parts replace; gold follows each."""
+    path = f"{scratch_path(t.spark, 'incremental-gold')}/{uuid.uuid4().hex}"
+    rows = checkpointed(t.silver).withColumn("_part", F.pmod(F.xxhash64("cik", "period_end"), F.lit(3)))
+    early = rows.where("_part = 2").withColumns({"assets_total": F.col("assets_total") * 2, "revenue": F.lit(None).cast("double")})
+    for part in (rows.where("_part = 0").unionByName(early), rows.where("_part = 1"), rows.where("_part = 2")):
+        IG.apply_silver(part.drop("_part"), t.universe, f"{path}/silver", f"{path}/gold", buckets=8)
+    return KY.read_keyed(t.spark, f"{path}/gold")
+
+
+add(
+    "gld7_incremental_gold",
+    lambda t: _updated_gold(t).select("cik", "period_end", "altman_z_score", "distress_label", *GROWTHS, "revenue_declining_3q", "net_income_declining_3q"),
+    f"SELECT cik, period_end, altman_z_score, distress_label, {', '.join(GROWTHS)}, revenue_declining_3q, net_income_declining_3q FROM gold",
+    Z,
+)
+
+
+def _bucketed_gold(t: Inputs) -> DataFrame:
+    """Gold from silver that is stored in buckets by company: no exchange between the scan and the windows."""
+    table = f"silver_buckets_{uuid.uuid4().hex[:12]}"
+    WR.write_bucketed(t.silver, table, ["cik"], ["form_type", "period_end"], 8)
+    return L.build_gold(t.spark.table(table), t.universe)
+
+
+add(
+    "gld7_gold_from_buckets",
+    lambda t: _bucketed_gold(t).select("cik", "period_end", "altman_z_score", *GROWTHS),
+    f"SELECT cik, period_end, altman_z_score, {', '.join(GROWTHS)} FROM gold",
+    Z,
+)
+
 # ------------------------------------------------------------------------------------------ composite layer
 
 add("cmp14_describe", lambda t: Q.describe(t.composite, "composite_score"), describe_sql("composite_score", "composite"), MOMENTS)

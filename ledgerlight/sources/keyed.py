@@ -40,14 +40,20 @@ def _stored(spark: SparkSession, path: str, folders: list[str]) -> DataFrame | N
     return spark.read.option("mergeSchema", True).parquet(*(f"{path}/{folder}" for folder in folders))
 
 
-def merge_keyed(new: DataFrame, path: str, keys: list[str], version: str | None = None, buckets: int = BUCKETS, number: int | None = None) -> int:
+def merge_keyed(
+    new: DataFrame, path: str, keys: list[str], version: str | None = None, buckets: int = BUCKETS, number: int | None = None, by: list[str] | None = None,
+    replaced: DataFrame | None = None,
+) -> int:
     """Merge rows into the table at ``path``, made by the first merge. Returns how many buckets were written.
 
-    ``number`` is that of a batch: one that is not above the last applied one is skipped, since it has been merged before.
+    ``number`` is that of a batch: one that is not above the last applied one is skipped, since it has been merged before. Buckets are cut by
+    the columns ``by``, all keys where none are named. ``replaced`` holds values of ``by`` whose stored rows all go.
     """
+    by = by or keys
     spark, log = new.sparkSession, CommitLog(new.sparkSession, path)
     if number is not None and number <= log.latest()[1].get("applied", -1):
         return 0
+    replaced = None if replaced is None else checkpointed(replaced.select(*by).distinct())
     new = checkpointed(new)  # rows may come from a scorer: they are computed once, however often the merge starts again
     while True:
         at, entry = log.latest()
@@ -55,14 +61,21 @@ def merge_keyed(new: DataFrame, path: str, keys: list[str], version: str | None
             return 0
         many, folders = entry.get("buckets", buckets), entry.get("folders", {})
         rows = new.withColumn("_side", F.lit(1))
-        touched = sorted(row[0] for row in new.select(_bucket(keys, many)).distinct().collect())  # ``many`` numbers at most
+        concerned = new.select(*by) if replaced is None else new.select(*by).unionByName(replaced)
+        touched = _touched(concerned, by, many)
         old = _stored(spark, path, [folders[str(b)] for b in touched if str(b) in folders])
+        if old is not None and replaced is not None:
+            gone = replaced.withColumnsRenamed({name: f"_{name}" for name in by})
+            old = old.join(gone, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in by], "left_anti")
         both = rows if old is None else typed.union_by_name([old.withColumn("_side", F.lit(0)), rows])
         name = f"merge-{uuid.uuid4().hex}"
         if touched:
-            merged = _newest(both, keys, version).withColumn(BUCKET, _bucket(keys, many))
+            merged = _newest(both, keys, version).withColumn(BUCKET, _bucket(by, many))
             merged.repartition(len(touched), BUCKET).sortWithinPartitions(BUCKET, *keys).write.partitionBy(BUCKET).parquet(f"{path}/{name}")
-        changed = {**entry, "buckets": many, "folders": {**folders, **{str(b): f"{name}/{BUCKET}={b}" for b in touched}}}
+        # a bucket that lost all of its rows has no folder
+        full = {str(row[0]) for row in merged.select(BUCKET).distinct().collect()} if replaced is not None and touched else set(map(str, touched))
+        kept = {b: folder for b, folder in folders.items() if int(b) not in touched}
+        changed = {**entry, "buckets": many, "by": by, "folders": {**kept, **{b: f"{name}/{BUCKET}={b}" for b in sorted(full)}}}
         if number is not None:
             changed["applied"] = number
         try:
@@ -72,6 +85,19 @@ def merge_keyed(new: DataFrame, path: str, keys: list[str], version: str | None
         return len(touched)
 
 
+def _touched(rows: DataFrame, by: list[str], buckets: int) -> list[int]:
+    return sorted(row[0] for row in rows.select(_bucket(by, buckets)).distinct().collect())  # ``buckets`` numbers at most
+
+
+def read_for(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame | None:
+    """The stored rows of the values of ``rows``; only the folders that these fall into are read. None where there are none."""
+    _, entry = CommitLog(spark, path).latest()
+    by, folders = entry["by"], entry["folders"]
+    wanted = rows.select(*by).distinct()
+    stored = _stored(spark, path, [folders[str(b)] for b in _touched(wanted, by, entry["buckets"]) if str(b) in folders])
+    return stored if stored is None else stored.join(wanted, by, "left_semi")
+
+
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """All rows of the newest entry, as stored."""
     _, entry = CommitLog(spark, path).latest()

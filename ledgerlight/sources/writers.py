@@ -45,6 +45,16 @@ def write_gold(gold: DataFrame, path: str) -> None:
     _write_partitioned(gold.withColumn("distress_label", label), path, "distress_label", "static")
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
+    """A table of the catalog whose rows lie in buckets by ``keys``, one file each, sorted by ``keys`` and ``order``.
+
+    Windows, aggregates and joins on the keys (or more columns) then need no exchange, and none of what follows in the same order needs a sort.
+    Tables that are joined need the same keys and number of buckets.
+    """
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, *order).option("compression", "snappy").saveAsTable(table)
+
+
 def write_text_features(features: DataFrame, path: str) -> None:
     """One folder per section; sections not in ``features`` stay as they are."""
     _write_partitioned(features, path, "section", "dynamic")
