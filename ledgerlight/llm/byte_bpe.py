@@ -28,7 +28,7 @@ from ledgerlight.llm.common import replaced, slices, tidy
 SLICE_BYTES = 2 << 20
 BLOCK_CHARS = 4 << 20
 #: Encoded words that a Python worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: A rank file larger than this isn't broadcast.
 MAX_MODEL_BYTES = 64 << 20
 
