@@ -111,7 +111,23 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op5_jaccard_join")
+@query("op5_jaccard_join", sql=r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+    ), shingles AS MATERIALIZED (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)]
+            WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM split
+    ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (
+        SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+    ), reach (doc_id, root) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION SELECT e.y, root FROM reach JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) e ON e.x = reach.doc_id WHERE root < e.y
+    )
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents d LEFT JOIN sizes USING (doc_id)
+    JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)""")
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join_components(table(spark, folder, "documents"))
 

@@ -428,25 +428,48 @@ def _repeat_spans(size: int):
     return run
 
 
+#: A group's string in the segment of one class's first occurrence, and a segment with its class.
+OCCURRENCE = "group string, length long, slice long, row long, begin long, offset long"
+MEMBER = "slice long, row long, begin long, bytes long, key long, anchor long, name long"
+
+
 def _repeat_groups(size: int):
     def run(table: pa.Table) -> pa.Table:
-        out = {"group": [], "length": [], "key": [], "start": []}
         bucket = table["bucket"][0].as_py()
-        for batch, (_, rows, array, start, _, groups) in enumerate(_repeats(table, size)):
-            for number, (length, first, last) in enumerate(groups):
-                out["group"] += [f"{bucket}-{batch}-{number}"] * (last - first + 1)
-                out["length"] += [length] * (last - first + 1)
-                out["key"] += rows["key"][array.segment[first:last + 1]].tolist()
-                out["start"] += start[first:last + 1].tolist()
-        keys = np.array(out["key"], np.int64)
-        return pa.table({
-            "group": pa.array(out["group"], pa.string()), "length": pa.array(out["length"], pa.int64()),
-            "key": pa.array(keys, mask=keys == NO_KEY), "start": pa.array(out["start"], pa.int64()),
-        })
+        out = [pa.table({"group": pa.array([], pa.string()), **{name: pa.array([], pa.int64()) for name in ("length", "slice", "row", "begin", "offset")}})]
+        for batch, (of, rows, array, _, _, groups) in enumerate(_repeats(table, size)):
+            if not groups:
+                continue
+            length, first, last = np.array(groups).T
+            count = last - first + 1
+            number = np.repeat(np.arange(len(groups)), count)
+            suffix = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+            segment = array.segment[suffix]
+            name = pc.binary_join_element_wise(f"{bucket}-{batch}", pa.array(number).cast(pa.string()), "-")
+            numbers = (length[number], of[segment], rows["row"][segment], rows["start"][segment], array.offset[suffix])
+            out.append(pa.table({"group": name, **{
+                field: pa.array(values.astype(np.int64)) for field, values in zip(("length", "slice", "row", "begin", "offset"), numbers)
+            }}))
+        return pa.concat_tables(out)
 
     return run
 
 
+def _members(slices: DataFrame, size: int, anchor: int) -> DataFrame:
+    """All segments with their classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, part in each_slice(batches):
+            for grams, names, row, start, length in segments(part, size, anchor):
+                keys = part.keys[row]
+                columns = [np.full(len(row), name), row, start, length]
+                yield pa.RecordBatch.from_arrays([
+                    *(pa.array(column.astype(np.int64)) for column in columns), pa.array(keys, mask=keys == NO_KEY),
+                    pa.array((grams & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(names.view(np.int64)),
+                ], ["slice", "row", "begin", "bytes", "key", "anchor", "name"])
+
+    return slices.mapInArrow(tidy(run), MEMBER)
+
+
 def _steps(slices: DataFrame, size: int, anchor: int, hot: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(spans of repeated classes with what to fetch, content of the classes that share an anchor, or strings where they are more than ``hot``)."""
     buckets = 4 * shuffle_partitions(slices.sparkSession)
@@ -459,14 +482,28 @@ def _steps(slices: DataFrame, size: int, anchor: int, hot: int | None = None) ->
 
 
 def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
-    """group, length, key, start: the maximal repeat groups among segment classes, one row for each occurrence.
+    """group, length, key, start: the maximal repeat groups, one row for each occurrence in any document.
 
-    A group's string is maximal within segments of at most 2 * size - anchor bytes; longer repeats are runs of groups with
-    shifted starts. A class of equal segments is present with its first occurrence.
+    A group's string is maximal within segments of at most 2 * size - anchor bytes; longer repeats are runs of groups with shifted
+    starts. Every string of ``size`` bytes that comes more than once lies in a group together with all of its occurrences, those in exact
+    copies too. Groups are found among classes of equal segments and then joined with the classes' members; a class with several
+    members is a group itself where no larger one has its string. Aggregates and joins split hot classes.
     """
-    _, content = _steps(slices_of(docs, key, text), size, anchor)
-    groups = content.groupBy("bucket").applyInArrow(_repeat_groups(size), "group string, length long, key long, start long")
-    return groups.withColumnRenamed("key", key)
+    slices = slices_of(docs, key, text)
+    _, content = _steps(slices, size, anchor)
+    found = checkpointed(content.groupBy("bucket").applyInArrow(_repeat_groups(size), OCCURRENCE))
+    members = checkpointed(_members(slices, size, anchor))
+    place, kind = ["slice", "row", "begin"], ["anchor", "name"]
+    of_class = found.join(members.select(*place, "bytes", *kind), place)
+    covered = of_class.where("offset = 0 AND length = bytes").select(*kind).distinct()
+    several = members.groupBy(*kind).agg(F.count("*").alias("n")).where("n > 1").join(covered, kind, "left_anti").select(*kind)
+    alone = members.join(several, kind).select(
+        F.concat_ws("-", F.lit("class"), *kind).alias("group"), F.col("bytes").alias("length"), "key", F.col("begin").alias("start"),
+    )
+    spread = of_class.select("group", "length", "offset", *kind).join(members.select(*kind, "key", "begin"), kind).select(
+        "group", "length", "key", (F.col("begin") + F.col("offset")).alias("start"),
+    )
+    return spread.unionByName(alone).withColumnRenamed("key", key)
 
 
 def whole_characters(kept: Column) -> Column:

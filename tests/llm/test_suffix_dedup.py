@@ -125,6 +125,40 @@ def test_groups_are_maximal_and_whole(spark):
         assert len({rows[d][1][s:s + length] for d, s in places}) == 1 and length >= 100
 
 
+def test_groups_hold_every_occurrence(spark):
+    """Against all places of all repeated strings: exact copies, near copies, shared passages, repeats inside one text."""
+    random.seed(12)
+    words = [random.choice("abcdefgh") * random.randrange(1, 4) + str(i) for i in range(60)]
+    make = lambda n: " ".join(random.choices(words, k=n))
+    whole, passage, edited = make(120), make(40), make(90)
+    texts = [whole] * 4 + [make(20) + " " + passage + " " + make(20) for _ in range(4)] + [passage + passage, edited, edited[:200] + "X" + edited[201:], "ab" * 150, None, "", make(10)]
+    rows = [(None if i == 3 else i, text) for i, text in enumerate(texts)]
+    groups = {}
+    for r in S.repeat_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        groups.setdefault((r.group, r.length), []).append((r.doc_id, r.start))
+    text_of = dict(rows)
+    strings = {}
+    for (_, length), places in groups.items():
+        (string,) = {text_of[d][s:s + length] for d, s in places}
+        assert length >= 100 and len(set(places)) == len(places) > 1
+        # no occurrence is missing
+        wanted = {(d, i) for d, t in rows if t for i in range(len(t) - length + 1) if t[i:i + length] == string}
+        assert set(places) == wanted
+        strings.setdefault(string, 0)
+        strings[string] += 1
+    assert max(strings.values()) == 1  # and no group comes twice
+    # every repeated string of 100 bytes lies in a group with all of its places
+    places = {}
+    for d, t in rows:
+        for i in range(len(t or "") - 99):
+            places.setdefault(t[i:i + 100], set()).add((d, i))
+    for string, where in places.items():
+        if len(where) > 1:
+            assert any(string in other and {(d, s + other.index(string)) for d, s in groups_of} >= where for other, groups_of in (
+                (text_of[ps[0][0]][ps[0][1]:ps[0][1] + length], ps) for (_, length), ps in groups.items()
+            )), string
+
+
 def test_interval_tree_against_all_pairs():
     random.seed(9)
     for _ in range(30):
