@@ -62,6 +62,35 @@ def test_changed_labels_and_touched_folders(spark, layers, tmp_path):
     assert KY.read_keyed(spark, paths[1]).count() == silver.where("assets_total > 0").count()
 
 
+def test_large_buckets_are_written_by_several_tasks(spark, layers, tmp_path, monkeypatch):
+    silver, universe = layers
+    few, many = (f"{tmp_path}/few_silver", f"{tmp_path}/few_gold"), (f"{tmp_path}/many_silver", f"{tmp_path}/many_gold")
+    apply_silver(silver, universe, *few, buckets=2)
+    monkeypatch.setattr(KY, "TASK_ROWS", 10)
+    apply_silver(silver, universe, *many, buckets=2)
+    apply_silver(silver.where("cik < 3"), universe, *many)
+    for one, several in zip(few, many):
+        files = [f.rpartition("/")[0] for f in KY.read_keyed(spark, one).inputFiles()]
+        assert len(files) == len(set(files))
+        files = [f.rpartition("/")[0] for f in KY.read_keyed(spark, several).inputFiles()]
+        assert len(files) > 2 * len(set(files))
+    assert cells(KY.read_keyed(spark, many[1])) == cells(KY.read_keyed(spark, few[1])) == cells(build_gold(silver, universe))
+
+
+def test_folders_of_a_merge_that_only_removes(spark, layers, tmp_path):
+    silver, universe = layers
+    path = f"{tmp_path}/gold"
+    rows = build_gold(silver, universe)
+    companies = silver.select("cik").distinct()
+    KY.merge_keyed(rows, path, ["cik", "period_end"], buckets=4, by=["cik"], replaced=companies)
+    before = CommitLog(spark, path).latest()[1]["folders"]
+    # stored rows of one company go, none come: its bucket keeps the others, or has no folder
+    KY.merge_keyed(rows.where("cik = -1"), path, ["cik", "period_end"], by=["cik"], replaced=companies.where("cik = 2"))
+    after = CommitLog(spark, path).latest()[1]["folders"]
+    assert set(after) <= set(before) and KY.read_keyed(spark, path).where("cik = 2").count() == 0
+    assert KY.read_keyed(spark, path).count() == rows.where("cik <> 2").count()
+
+
 def test_bucketed_silver_needs_no_exchange_below_the_windows(spark, layers):
     silver, universe = layers
     WR.write_bucketed(silver, "silver_by_company", ["cik"], ["form_type", "period_end"], 4)
