@@ -89,6 +89,18 @@ def test_row_form_agrees_with_documents(spark):
     assert sorted(map(tuple, ours)) == sorted(map(tuple, theirs))
 
 
+def test_only_named_fields_are_decoded(spark):
+    gaap = {"Assets": [entry(val=7, fp="FY"), entry(val="abc")], "Cash": [entry(val=None)]}
+    raws = [("a", doc(gaap, {"Assets": [entry(val=1)], "Debt": [None, entry(val=True)]})), ("b", doc(gaap)[:-3]), ("c", doc(gaap, unit="EUR")), ("d", None)]
+    blobs = spark.createDataFrame(raws, "file_key STRING, raw STRING")
+    whole, narrow = FL.explode_facts(blobs), FL.explode_facts(blobs, fields=("val",))
+    assert narrow.columns == ["file_key", "tag", "val"]
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.select(*narrow.columns).collect())) and narrow.count() == 5
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "entityName" not in plan and "filed" not in plan
+    assert [r.file_key for r in FL.documents_with_bad_values(blobs).collect()] == ["a"]
+
+
 def test_flattening_needs_no_shuffle_and_parses_once(spark):
     df = spark.createDataFrame([(doc({"Assets": [entry()]}),)], "raw STRING")
     plan = FL.flatten_facts(df)._jdf.queryExecution().executedPlan().toString()
