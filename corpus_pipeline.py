@@ -32,10 +32,9 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     Rows from which nothing is cut stay as they are.
     """
     mark = private("cut")
-    cut = suffix_dedup.remove_repeats(docs.withColumn(f"{mark}null", F.col("text").isNull()), rest=True, prefix=mark)
-    kept, changed = F.col(f"{mark}kept"), F.col(f"{mark}n_removed") > 0
-    text = F.when(changed, suffix_dedup.whole_characters(kept)).when(~F.col(f"{mark}null"), kept.cast("string"))
-    n_chars = F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    cut = suffix_dedup.remove_repeats(docs.withColumn(f"{mark}null", F.col("text").isNull()), rest=True, prefix=mark, characters=True)
+    text = F.when(~F.col(f"{mark}null"), F.col(f"{mark}kept").cast("string"))
+    n_chars = F.when(F.col(f"{mark}n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cut.withColumn("text", text).withColumn("n_chars", n_chars).select(*docs.columns)
 
 

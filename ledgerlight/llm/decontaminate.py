@@ -92,7 +92,8 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 @dataclass(frozen=True)
 class Repetition:
-    """A walk's random bits and sampled steps, each item's offset, and the items by key (sorted)."""
+    """A walk's random bits and sampled steps, each item's offset, the items by key (sorted), and a table of bits for each sample: a byte
+    for each would make an index of 200 items 100 MB large, which every Python worker holds."""
 
     seed: np.uint64
     steps: tuple[int, ...]
@@ -102,12 +103,25 @@ class Repetition:
     tables: tuple[np.ndarray, ...]
 
 
+def packed_table(keys: np.ndarray) -> np.ndarray:
+    """TABLE bits, one set for each key."""
+    table = np.zeros(TABLE, bool)
+    table[(keys & np.uint64(TABLE - 1)).astype(np.int64)] = True
+    return np.packbits(table, bitorder="little")
+
+
+def fits(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys have their bit set."""
+    slot = keys & np.uint64(TABLE - 1)
+    return (table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & np.uint8(1)).view(bool)
+
+
 def walk(names: np.ndarray, at: np.ndarray, stop: np.ndarray, seed: np.uint64, steps: tuple[int, ...], tables: tuple[np.ndarray, ...] | None):
     """(positions that are left, their keys): the sampled symbols of the walks from ``at``, pruned by the tables."""
     left, pointer = np.arange(len(at)), at.copy()
     key = W.mix(names[pointer])
     if tables is not None:
-        keep = tables[0][(key & np.uint64(TABLE - 1)).astype(np.int64)]
+        keep = fits(tables[0], key)
         left, pointer, key = left[keep], pointer[keep], key[keep]
     for step in range(1, steps[-1] + 1):
         symbol = names[pointer]
@@ -118,7 +132,7 @@ def walk(names: np.ndarray, at: np.ndarray, stop: np.ndarray, seed: np.uint64, s
         if step in steps:
             key = W.mix(key * np.uint64(31) + names[pointer])
             if tables is not None:
-                keep = tables[steps.index(step)][(key & np.uint64(TABLE - 1)).astype(np.int64)]
+                keep = fits(tables[steps.index(step)], key)
                 left, pointer, key = left[keep], pointer[keep], key[keep]
     return left, key
 
@@ -237,7 +251,7 @@ class Index:
         self.pieces = Pieces(np.concatenate(exact), names)
         self.starts: np.ndarray = np.zeros(TABLE, np.uint64)
         for r, repetition in enumerate(self.repetitions):
-            self.starts[repetition.tables[0]] |= np.uint64(1) << np.uint64(r % 64)
+            self.starts[np.unpackbits(repetition.tables[0], bitorder="little").view(bool)] |= np.uint64(1) << np.uint64(r % 64)
 
     def _add(self, mine: np.ndarray, lengths: np.ndarray, reach: int) -> np.ndarray:
         """Repetitions for the items ``mine`` until enough edited items of each length are found; the items for which that fails."""
@@ -295,9 +309,7 @@ class Index:
         out = []
         for n in range(1, len(steps) + 1):
             _, keys = walk(self.flat, at, stop, seed, steps[:n], None)
-            table = np.zeros(TABLE, bool)
-            table[(keys & np.uint64(TABLE - 1)).astype(np.int64)] = True
-            out.append(table)
+            out.append(packed_table(keys))
         return tuple(out)
 
     @staticmethod

@@ -22,10 +22,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -506,23 +505,25 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     return spread.unionByName(alone).withColumnRenamed("key", key)
 
 
-def whole_characters(kept: Column) -> Column:
-    """The kept bytes as text, without the bytes of characters that were cut in two."""
-
-    @F.pandas_udf(T.StringType())
-    def decoded(values: pd.Series) -> pd.Series:
-        return values.map(lambda value: None if value is None else bytes(value).decode("utf-8", "ignore"))
-
-    return decoded(kept)
+def whole_characters(kept: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, ends) of the texts kept[ends[i]:ends[i + 1]], in the given rows without the bytes of characters that were cut in two."""
+    sizes, parts, at = np.diff(ends), [], 0
+    for row in rows.tolist():
+        text = kept[ends[row]:ends[row + 1]].tobytes().decode("utf-8", "ignore").encode()
+        parts += [kept[at:ends[row]], np.frombuffer(text, np.uint8)]
+        at, sizes[row] = ends[row + 1], len(text)
+    return np.concatenate([*parts, kept[at:]]), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, anchor: int = ANCHOR, rest: bool = False, prefix: str = "",
+    characters: bool = False,
 ) -> DataFrame:
     """key, n_bytes, n_removed, spans (start, length of each maximal removed run), kept (the remaining bytes) of every row.
 
     With ``rest`` the other columns of the rows come first; one that has the name of a result is replaced by it. ``prefix`` is put
-    before the names of the results.
+    before the names of the results. With ``characters`` the bytes of characters that were cut in two are left out of kept (in the same
+    task: a function of its own over kept would need a second Python worker beside it).
     """
     if not 0 < anchor <= size or 2 * size - anchor > 255:
         raise ValueError("anchor must be at most size, and segments of 2 * size - anchor bytes at most 255")
@@ -547,6 +548,8 @@ def remove_repeats(
         row = np.repeat(np.arange(len(part.keys)), np.diff(first))
         kept = data[~gone]
         kept_ends = np.concatenate([[0], np.cumsum(np.diff(ends) - removed)])
+        if characters:
+            kept, kept_ends = whole_characters(kept, kept_ends, np.flatnonzero(removed))
         lists = pa.ListArray.from_arrays(
             pa.array(first, pa.int32()), pa.StructArray.from_arrays([pa.array(begins - ends[row]), pa.array(stops - begins)], ["start", "length"])
         )

@@ -134,3 +134,14 @@ def test_nulls_empty_tables_and_repeated_rows(spark):
     assert sorted(r.doc_id for r in D.without_leaks(docs, items).collect()) == [3, 4, 7]
     assert found(D.find_leaks(docs.limit(0), items)) == [] and found(D.find_leaks(docs, items.limit(0))) == []
     assert D.without_leaks(docs, items.limit(0)).count() == 8
+
+
+def test_an_index_has_a_bit_for_each_place_of_its_tables():
+    random.seed(5)
+    words = [f"w{i}" for i in range(3000)]
+    index = D.Index(list(range(50)), D.names_of([" ".join(random.choices(words, k=random.randrange(20, 40))).encode() for _ in range(50)]))
+    assert index.repetitions and all(t.nbytes == D.TABLE // 8 for r in index.repetitions for t in r.tables)
+    keys = np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64)
+    others = np.arange(D.TABLE, dtype=np.uint64)
+    assert np.array_equal(D.fits(D.packed_table(keys), others), np.isin(others, keys % np.uint64(D.TABLE)))
+    assert D.fits(D.packed_table(keys), keys).all() and len(D.fits(D.packed_table(keys), keys[:0])) == 0

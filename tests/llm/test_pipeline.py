@@ -1,3 +1,4 @@
+import re
 import sys
 
 import numpy as np
@@ -81,3 +82,10 @@ def test_each_stage_on_odd_rows(spark, name, stage):
     assert wider.count() == out.count()
     if name != "byte_bpe":
         assert wider.columns == more.columns and {(r.score, r.predicted, r.kept, r.n_removed) for r in wider.collect()} == {("own", 7, "k", True)}
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_no_task_needs_two_python_workers(spark, name, stage):
+    plan = stage(spark, Q.table(spark, FOLDER, "documents"), FOLDER)._jdf.queryExecution().executedPlan().toString()
+    parts = [re.findall(r"MapInArrow|FlatMap(?:Co)?GroupsInArrow|ArrowEvalPython|BatchEvalPython|MapInPandas", part) for part in plan.split("Exchange")]
+    assert any(parts) and max(map(len, parts)) == 1, plan

@@ -183,3 +183,12 @@ def test_interval_tree_against_all_pairs():
         for length, first, last in groups:
             some = suffixes[first:last + 1]
             assert len({x[:length] for x in some}) == 1 and len({x[length:length + 1] for x in some}) > 1 or min(map(len, some)) == length
+
+
+def test_cut_characters_go_in_the_given_rows_only():
+    rows = [b"\xc3", b"", "aé東".encode()[:-1], b"\x82b\xf0\x9f", "é🙂".encode(), b"\xa9"]
+    kept, ends = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    for some in ([], [0], [2, 3], [1, 4, 5], range(6)):
+        data, at = S.whole_characters(kept, ends, np.array(some, np.int64))
+        wanted = [row.decode("utf-8", "ignore").encode() if i in some else row for i, row in enumerate(rows)]
+        assert [data[a:b].tobytes() for a, b in zip(at[:-1], at[1:])] == wanted
